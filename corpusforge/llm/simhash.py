@@ -262,7 +262,8 @@ def links(prints: DataFrame, max_distance: int = 3, block: int = BLOCK) -> DataF
                 key, row, home = expand(part, code)
                 yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(part[row].view(np.int64)), pa.array(home)], ["tile", "fp", "home"])
 
-    distinct = prints.where("fp is not null").select("fp").distinct()
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.where("fp is not null").select("fp").repartition(parts, "fp").distinct()  # not coalesced: rows multiply
     sent = distinct.mapInArrow(send, "tile long, fp long, home boolean")
     dealt = sent.repartition("tile").sortWithinPartitions("tile")
     first = materialize(dealt.mapInArrow(_compare(max_distance, block), SCHEMA), "anchors")
