@@ -128,10 +128,13 @@ class Scanner:
         for w, k in texts:
             samples.append((w, k))
             for _ in range(MADE):
-                kept = [x for x in w if rng.random() > 0.1]
+                kept = [x for x in w if rng.random() > 0.1] if len(w) > 20 else w
                 samples.append((rng.choices(filler, k=rng.randrange(8)) + kept + rng.choices(filler, k=rng.randrange(8)), k))
+            own = set(zip(w, w[1:], strict=False))
             for _ in range(MADE // 2):
-                samples.append((rng.sample(w, len(w)), UNKNOWN))
+                mixed = rng.sample(w, len(w))
+                if 2 * len(own & set(zip(mixed, mixed[1:], strict=False))) < len(own):
+                    samples.append((mixed, UNKNOWN))
                 cut = rng.randrange(len(w))
                 samples.append((rng.choices(filler, k=12) + w[cut : cut + max(1, len(w) // 5)] + rng.choices(filler, k=12), UNKNOWN))
         samples += [(w, UNKNOWN) for w in plain for _ in range(10)]
