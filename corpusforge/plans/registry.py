@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from corpusforge.plans import base, relation_queries, text_queries
+from corpusforge.plans.base import Query
 
-from pyspark.sql import DataFrame, SparkSession
+FLAGSHIP = "surviving_sentences"
+MODULES = (text_queries, relation_queries)
 
-FLAGSHIP = ""
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(base.ORACLES)
