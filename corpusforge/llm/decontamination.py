@@ -2,9 +2,9 @@
 
 A text is a row of token hashes. Each fixed mask looks at some of the positions of a short span and ignores the
 rest, so a substituted word between them does no harm; the masks together hit every stretch of OVERLAP tokens in
-which at most a fifth differ. Test and training seeds are joined, and around a
-hit test and training tokens are compared position by position on the hit's diagonal: a document is contaminated by
-an item if a stretch of OVERLAP tokens (the whole item if it is shorter) agrees in at least four fifths.
+which at most a fifth differ. Test and training seeds are joined, and around a hit test and training tokens are
+compared position by position on the hit's diagonal: a document is contaminated by an item if a stretch of OVERLAP
+tokens (the whole item if it is shorter) agrees in at least four fifths.
 
 The seeds of the test set are broadcast while they are at most MAX_BROADCAST_SEEDS, which is counted first; beyond
 that they are joined by a shuffle and the documents that were hit are joined again for the comparison.
@@ -33,17 +33,22 @@ def tokens(text: Column) -> Column:
 
 def _seeds(rows: DataFrame, array: str, masks: list[tuple[int, ...]], keep: list[str], at: str) -> DataFrame:
     """Rows (*keep, at, seed): the masks' hashes at every position of the array."""
-    placed = rows.where(f"size({array}) >= {min(m[-1] for m in masks) + 1}")
-    placed = placed.select(*keep, array, F.expr(f"explode(sequence(0, size({array}) - {min(m[-1] for m in masks) + 1}))").alias(at))
+    least = min(m[-1] for m in masks) + 1
+    # outer, as otherwise a filter on the array's size is derived that computes the array once more
+    placed = rows.select(*keep, array, F.expr(f"explode_outer(if(size({array}) >= {least}, sequence(0, size({array}) - {least}), array()))").alias(at))
     each = ", ".join(
         f"if({at} + {m[-1]} < size({array}), xxhash64({k}, {', '.join(f'get({array}, {at} + {i})' for i in m)}), null)" for k, m in enumerate(masks)
     )
-    return placed.select(*keep, array, at, F.expr(f"stack({len(masks)}, {each})").alias("seed")).where("seed is not null")
+    return placed.select(*keep, array, at, F.expr(f"explode(array({each}))").alias("seed")).where("seed is not null")
+
+
+#: The document's tokens that the item would cover: the few that a hit carries on instead of the whole text.
+NEAR = "slice(dt, greatest(d0, 0) + 1, greatest(least(d0 + size(bt), size(dt)) - greatest(d0, 0), 0))"
 
 
 def _verified(hits: DataFrame) -> DataFrame:
-    """From rows (..., dt, bt, d0), d0 being where the item's first token would stand: those that overlap enough."""
-    met = F.expr("transform(bt, (b, j) -> if(d0 + j >= 0 and get(dt, d0 + j) <=> b, 1, 0))")
+    """From rows (..., near, bt, d0), d0 being where the item's first token would stand: those that overlap enough."""
+    met = F.expr("transform(bt, (b, j) -> if(j + least(d0, 0) >= 0 and get(near, j + least(d0, 0)) <=> b, 1, 0))")
     hits = hits.withColumn("met", met).withColumn("stretch", F.least(F.lit(OVERLAP), F.size("bt")))
     need = f"if(size(bt) < {OVERLAP}, 100, {AGREE_PERCENT})"
     sums = "transform(sequence(0, size(met) - stretch), s -> aggregate(slice(met, s + 1, stretch), 0, (a, x) -> a + x))"
@@ -75,13 +80,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     few = seeds.limit(max_broadcast + 1).count() <= max_broadcast
     if few:
         hits = mine.join(F.broadcast(seeds), "seed").withColumn("d0", F.col("p") - F.col("q"))
+        hits = hits.select("doc_id", "doc_hash", "item_id", "bt", "d0", F.expr(NEAR).alias("near"))
     else:
         hits = mine.drop("dt").join(seeds, "seed").select("doc_id", "doc_hash", "item_id", (F.col("p") - F.col("q")).alias("d0")).distinct()
         again = text.withColumnsRenamed({"doc_id": "_id", "doc_hash": "_hash"})
         hits = hits.join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_hash") == F.col("_hash"))).join(bench.withColumnRenamed("item_id", "_item"), F.col("item_id").eqNullSafe(F.col("_item")))
-    found = _verified(hits)
+        hits = hits.select("doc_id", "doc_hash", "item_id", "bt", "d0", F.expr(NEAR).alias("near"))
+    # one comparison for each diagonal; the aggregation also keeps it out of the join's generated code
+    diagonals = hits.groupBy("doc_id", "doc_hash", "item_id", "d0").agg(F.first("bt").alias("bt"), F.first("near").alias("near"))
+    found = _verified(diagonals)
     best = F.max_by(F.struct("doc_start", "overlap", "matched"), F.struct("matched", -F.col("doc_start")))
-    by_item = found.groupBy("doc_id", "doc_hash", "item_id").agg(F.count_distinct("d0").alias("n_places"), best.alias("best"))
+    by_item = found.groupBy("doc_id", "doc_hash", "item_id").agg(F.count("*").alias("n_places"), best.alias("best"))
     return by_item.select("doc_id", "doc_hash", "item_id", "n_places", "best.*")
 
 
