@@ -124,10 +124,12 @@ def top_values(rows: DataFrame, columns: list[str], most: int = 20) -> DataFrame
 
 def reconcile(captured: DataFrame, kept: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
     """Captured ids without a trace, traces without a captured id, and the number of each trace."""
-    traces = kept.select(key, F.lit(1).alias("k"), F.lit(0).alias("r")).unionByName(rejected.select(key, F.lit(0).alias("k"), F.lit(1).alias("r")))
-    traces = traces.groupBy(key).agg(F.sum("k").alias("kept"), F.sum("r").alias("rejected"))
+    one, none = F.lit(1), F.lit(0)
+    traces = kept.select(key, one.alias("_k"), none.alias("_r")).unionByName(rejected.select(key, none.alias("_k"), one.alias("_r")))
+    traces = traces.groupBy(key).agg(F.sum("_k").alias("kept"), F.sum("_r").alias("rejected"))
     both = captured.select(key, F.lit(True).alias("_c")).join(traces, key, "full")
-    return both.select(key, F.when(F.col("_c").isNull(), "orphan").when(F.col("kept").isNull(), "lost").otherwise("traced").alias("state"), F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("rejected", F.lit(0)).alias("rejected"))
+    state = F.when(F.col("_c").isNull(), "orphan").when(F.col("kept").isNull(), "lost").otherwise("traced")
+    return both.select(key, state.alias("state"), F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("rejected", F.lit(0)).alias("rejected"))
 
 
 def wilson(rows: DataFrame, group: list[str], hit: Column, z: float = 1.96) -> DataFrame:

@@ -31,12 +31,12 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows (doc_id, lang, source, at, text): the lines of documents that aren't blank, as they are."""
-    each = docs(spark, sf_dir).select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("at", "text"))
+    """Rows (doc_id, lang, source, pos, text): the lines of documents that aren't blank, as they are."""
+    each = docs(spark, sf_dir).select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
     return each.where("trim(text) <> ''")
 
 
-LINES = """line0 as (select doc_id, lang, source, unnest(string_split(text, chr(10))) as text, generate_subscripts(string_split(text, chr(10)), 1) - 1 as at from documents),
+LINES = """line0 as (select doc_id, lang, source, unnest(string_split(text, chr(10))) as text, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents),
 line as (select * from line0 where trim(text) <> '')"""
 WORDS = r"[\p{L}]+(?:[''’][\p{L}]+)*"
 

@@ -18,14 +18,14 @@ OWN = "the of and to in that is was for it with as be".split()
 OTHER = "der die und das den von ist le la les des et en un de el los que y una por".split()
 
 
-@query("select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as at from documents")
+@query("select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents")
 def sentence_split_newline(spark: SparkSession, sf: str) -> DataFrame:
-    return docs(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    return docs(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
 @query()
 def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
-    return docs(spark, sf).select("doc_id", F.posexplode(T.sentences("text")).alias("at", "sentence"))
+    return docs(spark, sf).select("doc_id", F.posexplode(T.sentences("text")).alias("pos", "sentence"))
 
 
 @query(f"select doc_id, {clean('text')} as text from documents")
@@ -55,15 +55,15 @@ def tokenise_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""with {LINES}, n as (select *, row_number() over (partition by source order by doc_id, at) - 1 as k from line)
+    f"""with {LINES}, n as (select *, row_number() over (partition by source order by doc_id, pos) - 1 as k from line)
     select source || '-' || lpad(k::varchar, 7, '0') as id, doc_id, source, text, len(regexp_extract_all(text, '[^\\s]+'))::int as n_words, length(text)::int as n_chars, {seconds('text')} as seconds, substr(sha1({dedup('text')}), 1, 12) as hash from n"""
 )
 def sentence_records(spark: SparkSession, sf: str) -> DataFrame:
-    return records.numbered(lines(spark, sf), "source", ["doc_id", "at"]).select("id", "doc_id", "source", "text", "n_words", "n_chars", "seconds", "hash")
+    return records.numbered(lines(spark, sf), "source", ["doc_id", "pos"]).select("id", "doc_id", "source", "text", "n_words", "n_chars", "seconds", "hash")
 
 
 _CAPTURE = f"""
-c as (select doc_id, at, source, lang, text as raw, {clean('text')} as text from line),
+c as (select doc_id, pos, source, lang, text as raw, {clean('text')} as text from line),
 m as (select *, len(regexp_extract_all(text, '[^\\s]+')) as n, len(regexp_extract_all(text, '"')) as q, len(regexp_extract_all(text, '[(]')) as o, len(regexp_extract_all(text, '[)]')) as p from c),
 g as (select *, case when text = '' then 'buida' when regexp_matches(text, '[0-9]') then 'conte xifres' when n < 3 or n > 60 then 'llargada ' || n || ' mots'
   when length(text) < 12 or length(text) > 350 then 'llargada ' || length(text) || ' caracters'
@@ -72,10 +72,10 @@ g as (select *, case when text = '' then 'buida' when regexp_matches(text, '[0-9
   when regexp_matches(text, '\\p{{Lu}}') and upper(text) = text then 'tot majuscules' end as reason from m)"""
 
 
-@query(f"with {LINES}, {_CAPTURE} select doc_id, at, reason from g")
+@query(f"with {LINES}, {_CAPTURE} select doc_id, pos, reason from g")
 def capture_gate_reasons(spark: SparkSession, sf: str) -> DataFrame:
     _, reason = gates.capture_reason("text")
-    return lines(spark, sf).select("doc_id", "at", reason.alias("reason"))
+    return lines(spark, sf).select("doc_id", "pos", reason.alias("reason"))
 
 
 @query(f"with {LINES}, {_CAPTURE} select split_part(coalesce(reason, 'ACCEPTADA'), ' (', 1) as reason, count(*) as n, 100.0::double * count(*) / sum(count(*)) over () as percent from g group by 1")
@@ -98,18 +98,18 @@ _LIST = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]"  # noqa: E7
 
 
 @query(
-    f"""with {LINES}, t as (select doc_id, at, {_TOKENS} as t from line),
-    s as (select doc_id, at, len(list_filter(t, lambda x: list_contains({_LIST(OWN)}, x)))::int as strong, len(list_filter(t, lambda x: list_contains({_LIST(OTHER)}, x)))::int - (case when list_contains({_LIST(['la', 'le', 'un'])}, t[1]) then 1 else 0 end) as other from t)
-    select doc_id, at, strong, other, case when other > 0 then 0 else strong end as score from s"""
+    f"""with {LINES}, t as (select doc_id, pos, {_TOKENS} as t from line),
+    s as (select doc_id, pos, len(list_filter(t, lambda x: list_contains({_LIST(OWN)}, x)))::int as strong, len(list_filter(t, lambda x: list_contains({_LIST(OTHER)}, x)))::int - (case when list_contains({_LIST(['la', 'le', 'un'])}, t[1]) then 1 else 0 end) as other from t)
+    select doc_id, pos, strong, other, case when other > 0 then 0 else strong end as score from s"""
 )
 def dialect_score(spark: SparkSession, sf: str) -> DataFrame:
     strong, other = gates.dialect_marks("text", OWN, OTHER, ["la", "le", "un"])
-    return lines(spark, sf).select("doc_id", "at", strong.alias("strong"), other.alias("other")).withColumn("score", F.when(F.col("other") > 0, 0).otherwise(F.col("strong")))
+    return lines(spark, sf).select("doc_id", "pos", strong.alias("strong"), other.alias("other")).withColumn("score", F.when(F.col("other") > 0, 0).otherwise(F.col("strong")))
 
 
 @query()
 def quality_gate_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    return lines(spark, sf).select("doc_id", "at", gates.quality_reason("text").alias("reason"))
+    return lines(spark, sf).select("doc_id", "pos", gates.quality_reason("text").alias("reason"))
 
 
 @query(f"with w as (select unnest({words('text')}) as word from documents) select word, count(*) as n from w where regexp_matches(word, '^\\p{{Ll}}') group by word having count(*) >= 3")
@@ -127,19 +127,19 @@ def oov_ratio(spark: SparkSession, sf: str) -> DataFrame:
     return lexicon.unknown_share(d, "doc_id", "text", lexicon.lexicon(d, "text"))
 
 
-_EACH = f"each as (select doc_id, unnest({words('text')}) as word, generate_subscripts({words('text')}, 1) - 1 as at from documents)"
+_EACH = f"each as (select doc_id, unnest({words('text')}) as word, generate_subscripts({words('text')}, 1) - 1 as pos from documents)"
 _SHORT = r"regexp_matches(regexp_replace(p, '[^\p{L}]', '', 'g'), '^\p{Lu}{2,}$') or (regexp_matches(regexp_replace(p, '[^\p{L}]', '', 'g'), '^.+\p{Lu}') and regexp_matches(p, '\p{Ll}'))"
 _ACRONYM = f"list_bool_or(list_transform(regexp_split_to_array(word, '[''’]'), lambda p: {_SHORT}))"
 
 
-@query(f"with {_EACH} select word, count(*) filter (at > 0) as inside, count(*) filter (at = 0) as initial from each where {_ACRONYM} group by word having count(*) filter (at > 0) >= 2 and count(*) filter (at > 0) > count(*) filter (at = 0)")
+@query(f"with {_EACH} select word, count(*) filter (pos > 0) as inside, count(*) filter (pos = 0) as initial from each where {_ACRONYM} group by word having count(*) filter (pos > 0) >= 2 and count(*) filter (pos > 0) > count(*) filter (pos = 0)")
 def acronym_discovery(spark: SparkSession, sf: str) -> DataFrame:
     return lexicon.acronyms(docs(spark, sf), "doc_id", "text")
 
 
 @query(
-    f"""with {_EACH}, s as (select lower(word) as form, {_ACRONYM} as short, regexp_matches(word, '^\\p{{Lu}}') as up, at from each)
-    select form, count(*) filter (short) as acronym, count(*) filter (up and not short and at > 0) as name, count(*) filter (not up) as lower from s group by form"""
+    f"""with {_EACH}, s as (select lower(word) as form, {_ACRONYM} as short, regexp_matches(word, '^\\p{{Lu}}') as up, pos from each)
+    select form, count(*) filter (short) as acronym, count(*) filter (up and not short and pos > 0) as name, count(*) filter (not up) as lower from s group by form"""
 )
 def case_usage(spark: SparkSession, sf: str) -> DataFrame:
     return lexicon.usage(docs(spark, sf), "doc_id", "text")
@@ -173,21 +173,21 @@ _NUM = "|".join(sorted(T.NUMBER_WORDS, key=len, reverse=True))
 _SKELETON = rf"trim(regexp_replace(regexp_replace(regexp_replace({dedup('text')}, '\b(?:{_NUM})\b', '#', 'g'), '#(?:[\s\-e]+#)*', '#', 'g'), '\s+', ' ', 'g'))"
 
 
-@query(f"with {LINES}, s as (select doc_id, at, {_SKELETON} as skeleton from line) select doc_id, at, skeleton from s qualify row_number() over (partition by skeleton order by doc_id, at) <= 2")
+@query(f"with {LINES}, s as (select doc_id, pos, {_SKELETON} as skeleton from line) select doc_id, pos, skeleton from s qualify row_number() over (partition by skeleton order by doc_id, pos) <= 2")
 def template_cap(spark: SparkSession, sf: str) -> DataFrame:
-    return D.template_cap(lines(spark, sf), "text", ["doc_id", "at"], 2).select("doc_id", "at", T.skeleton("text").alias("skeleton"))
+    return D.template_cap(lines(spark, sf), "text", ["doc_id", "pos"], 2).select("doc_id", "pos", T.skeleton("text").alias("skeleton"))
 
 
-@query(f"with {LINES}, b as (select distinct {dedup('unnest(string_split(text, chr(10)))')} as k from benchmark) select doc_id, at from line where {dedup('text')} not in (select k from b)")
+@query(f"with {LINES}, b as (select distinct {dedup('t')} as k from (select unnest(string_split(text, chr(10))) as t from benchmark)) select doc_id, pos from line where {dedup('text')} not in (select k from b)")
 def test_leak_anti(spark: SparkSession, sf: str) -> DataFrame:
     bench = table(spark, sf, "benchmark").select(F.explode(F.split("text", "\n")).alias("text"))
-    return D.without(lines(spark, sf), bench, T.dedup_key("text"), T.dedup_key("text")).select("doc_id", "at")
+    return D.without(lines(spark, sf), bench, T.dedup_key("text"), T.dedup_key("text")).select("doc_id", "pos")
 
 
-@query(f"with {LINES}, b as (select distinct {dedup('unnest(string_split(text, chr(10)))')} as k from benchmark) select doc_id, at from line where {dedup('text')} in (select k from b)")
+@query(f"with {LINES}, b as (select distinct {dedup('t')} as k from (select unnest(string_split(text, chr(10))) as t from benchmark)) select doc_id, pos from line where {dedup('text')} in (select k from b)")
 def test_leak_semi(spark: SparkSession, sf: str) -> DataFrame:
     bench = table(spark, sf, "benchmark").select(F.explode(F.split("text", "\n")).alias("text"))
-    return D.only(lines(spark, sf), bench, T.dedup_key("text"), T.dedup_key("text")).select("doc_id", "at")
+    return D.only(lines(spark, sf), bench, T.dedup_key("text"), T.dedup_key("text")).select("doc_id", "pos")
 
 
 @query(f"with d as (select doc_id, {dedup('text')} as k from documents), b as (select item_id, {dedup('text')} as k from benchmark) select doc_id, item_id from d join b on contains(' ' || d.k || ' ', ' ' || b.k || ' ')")
@@ -197,11 +197,11 @@ def test_leak_contains(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""select d.doc_id, l.doc_id is not null as corrected, t as text, len(regexp_extract_all(t, '[^\\s]+'))::int as n_words, length(t)::int as n_chars, {seconds('t')} as seconds, substr(sha1({dedup('t')}), 1, 12) as hash
-    from (select doc_id, text from documents) d left join labels l using (doc_id), lateral (select case when l.doc_id is null then d.text else upper(d.text) end as t) where coalesce(l.quality, 1) = 1"""
+    from (select doc_id, text from documents) d left join labels l using (doc_id), lateral (select case when l.doc_id is null then d.text else d.text || ' corrected' end as t) where coalesce(l.quality, 1) = 1"""
 )
 def corrections_apply(spark: SparkSession, sf: str) -> DataFrame:
     d = docs(spark, sf)
-    patches = table(spark, sf, "labels").join(d.select("doc_id", F.upper("text").alias("new_text")), "doc_id").select(F.col("doc_id").alias("id"), "new_text", (F.col("quality") == 0).alias("remove"))
+    patches = table(spark, sf, "labels").join(d.select("doc_id", F.concat("text", F.lit(" corrected")).alias("new_text")), "doc_id").select(F.col("doc_id").alias("id"), "new_text", (F.col("quality") == 0).alias("remove"))
     out = records.correct(d.select(F.col("doc_id").alias("id"), "text"), patches)
     return out.select(F.col("id").alias("doc_id"), "corrected", "text", "n_words", "n_chars", "seconds", "hash")
 
@@ -239,7 +239,7 @@ def split_with_exclusion(spark: SparkSession, sf: str) -> DataFrame:
     f"""with {LINES}, s as (select doc_id, lang, source, text, {clean('text')} as c from line),
     g as (select doc_id, lang, source, c from s where c <> '' and not regexp_matches(c, '[0-9]') and len(regexp_extract_all(c, '[^\\s]+')) between 3 and 60 and length(c) between 12 and 350
       and regexp_matches(regexp_replace(c, '["»)\\]''’”]+$', ''), '[.!?]$') and not regexp_matches(c, '["()]') and not (regexp_matches(c, '\\p{{Lu}}') and upper(c) = c)),
-    b as (select distinct {dedup('unnest(string_split(text, chr(10)))')} as k from benchmark),
+    b as (select distinct {dedup('t')} as k from (select unnest(string_split(text, chr(10))) as t from benchmark)),
     r as (select *, row_number() over (partition by {dedup('c')} order by {RANK}, doc_id) as p from g where {dedup('c')} not in (select k from b))
     select lang, source, count(*) as n, sum(length(c))::bigint as chars from r where p = 1 group by lang, source"""
 )
