@@ -6,8 +6,8 @@ that labels call good, the background model over all documents, its counts scale
 so both are models of corpora of one size with the same smoothing. Each token's loss under the target less its loss
 under the background is averaged: the lower a document's score, the nearer it is to the target.
 
-Counts cover every document whole; each task adds up its own before the shuffle. The tables have a fixed number of
-slots, so what is sent to the workers has a proven bound, VOCABULARY + PAIRS counts of four bytes a model, however
+Counts cover every document whole; each task adds up its own before the shuffle and sends them packed. The tables have a
+fixed number of slots, so what is sent to the workers has a proven bound, VOCABULARY + PAIRS counts of four bytes a model, however
 large the corpus; what is gathered grows with it.
 """
 
@@ -26,8 +26,8 @@ MIX, SMOOTH = 0.6, 0.5
 #: Multipliers of the pair hash: odd, any others would do.
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 START = 0
-#: Words counted before a task's partial sums are sent on.
-LOT = 4_000_000
+#: Slots of a task's texts that are counted at once, and slots in a row of counts.
+LOT, BLOCK = 1_500_000, 4096
 
 
 class Words:
@@ -57,57 +57,93 @@ def pair_slots(ids: np.ndarray) -> np.ndarray:
     return (((h ^ (h >> np.uint64(29))) * B) >> np.uint64(64 - 21)).astype(np.int64)
 
 
+SIZE = 2 * VOCABULARY + PAIRS
+
+
+def _packed(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Both tables in blocks of slots, each in the fewest bytes a count that hold its largest; empty blocks are left out."""
+    ids, widths, data = [], [], []
+    for block in range(SIZE // BLOCK):
+        part = sums[:, block * BLOCK : (block + 1) * BLOCK]
+        top = int(part.max())
+        if top:
+            width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+            ids.append(block)
+            widths.append(width)
+            data.append(part.astype(f"<u{width}").tobytes())
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(widths, pa.int32()), pa.array(data, pa.binary())], ["block", "width", "data"])
+
+
+def _unpacked(width: int, data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{width}").reshape(2, BLOCK).astype(np.int64)
+
+
 def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", target: DataFrame | None = None) -> DataFrame:
-    """Rows (slot, of_target, of_all): contexts, words and bigrams of target documents and of all.
+    """Rows (block, width, data): the counts of target documents and of all, BLOCK slots a row.
 
     Slots from 0 are words, from VOCABULARY contexts, from 2 * VOCABULARY bigrams. target holds the ids (column id).
+    Each task adds up what it reads and sends one row a block; a block's rows are added one by one as they come.
     """
-    size = 2 * VOCABULARY + PAIRS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        sums, seen = np.zeros((2, size), np.int32), 0
+        words, sums, held = Words(), np.zeros((2, SIZE), np.int64), [[], []]
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            at = np.flatnonzero(sums[1])
-            for i in range(0, len(at), 1 << 18):
-                part = at[i : i + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(sums[0][part].astype(np.int64)), pa.array(sums[1][part].astype(np.int64))], ["slot", "of_target", "of_all"])
-            sums[:] = 0
+        def add() -> None:
+            for k in (0, 1):
+                if held[k]:
+                    sums[k] += np.bincount(np.concatenate(held[k]), minlength=SIZE)
+                    held[k].clear()
 
+        waiting = 0
         for batch in batches:
             for text, good in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 ids = words(text.as_py() or b"")
                 slots = np.concatenate([ids[1:], VOCABULARY + ids[:-1], 2 * VOCABULARY + pair_slots(ids)])
-                np.add.at(sums[1], slots, 1)
+                held[1].append(slots)
                 if good:
-                    np.add.at(sums[0], slots, 1)
-                seen += len(ids)
-                if seen > LOT:
-                    yield from sent()
-                    seen = 0
-        yield from sent()
+                    held[0].append(slots)
+                waiting += len(slots)
+                if waiting > LOT:
+                    add()
+                    waiting = 0
+        add()
+        yield from _packed(sums)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([8], pa.int32()), pa.array([total.astype("<u8").tobytes()], pa.binary())], ["block", "width", "data"])
+
+        for batch in batches:
+            for block, width, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if block != now:
+                    if now is not None:
+                        yield out()
+                    now, total = block, np.zeros((2, BLOCK), np.int64)
+                total += _unpacked(width, data)
+        if now is not None:
+            yield out()
 
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("text"))
     if target is None:
         marked = slim.select("text", F.lit(False).alias("good"))
     else:
-        marked = slim.join(target.select(F.col("id").alias("_t")).distinct(), F.col("_id") == F.col("_t"), "left").select("text", F.col("_t").isNotNull().alias("good"))
-    parts = marked.mapInArrow(run, "slot int, of_target long, of_all long")
-    return parts.groupBy("slot").agg(F.sum("of_target").alias("of_target"), F.sum("of_all").alias("of_all"))
+        # by a shuffle at every size: the ids grow with the corpus
+        ids = target.select(F.col("id").alias("_t")).where("_t is not null").distinct().hint("merge")
+        marked = slim.join(ids, F.col("_id") == F.col("_t"), "left").select("text", F.col("_t").isNotNull().alias("good"))
+    schema = "block int, width int, data binary"
+    parts = marked.mapInArrow(run, schema).repartition("block").sortWithinPartitions("block")
+    return parts.mapInArrow(reduce, schema)
 
 
 class Model:
     """Both models' tables, dense, in floats; pickled once to each worker by a broadcast."""
 
-    def __init__(self, slots: np.ndarray, of_target: np.ndarray, of_all: np.ndarray) -> None:
-        self.tables = np.zeros((2, 2 * VOCABULARY + PAIRS), np.float32)
-        self.tables[0][slots] = of_target
-        words = slots < VOCABULARY
-        self.total = float(of_target[words].sum())
-        of_bg = float(of_all[words].sum())
-        self.tables[1][slots] = of_all * ((self.total / of_bg) if self.total and of_bg else 1.0)
-        self.total = self.total or of_bg
+    def __init__(self, of_target: np.ndarray, of_all: np.ndarray) -> None:
+        self.total, everything = float(of_target[:VOCABULARY].sum()), float(of_all[:VOCABULARY].sum())
+        scale = self.total / everything if everything else 1.0
+        self.tables = np.stack([of_target.astype(np.float32), (of_all * scale).astype(np.float32)])
 
     def losses(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each token's loss in nats under the target and the background."""
@@ -130,9 +166,10 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     Without any target document both models are the background's and every score is 0. Ids in target that docs
     lacks and null ids are ignored; repeated rows count and are scored each; other columns are not read.
     """
-    rows = counts(docs, id_col, text_col, target).toArrow()
-    get = lambda i: rows.column(i).to_numpy()
-    model = Model(get(0), get(1).astype(np.float64), get(2).astype(np.float64)) if get(1).sum() else Model(get(0), get(2).astype(np.float64), get(2).astype(np.float64))
+    tables = np.zeros((2, SIZE), np.int64)
+    for row in counts(docs, id_col, text_col, target).toArrow().to_pylist():
+        tables[:, row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = _unpacked(row["width"], row["data"])
+    model = Model(*tables) if tables[0].any() else Model(tables[1], tables[1])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
