@@ -87,7 +87,7 @@ def seconds(x: Column | str, speed: float = SPEED_SPOKEN) -> Column:
 
 def skeleton(x: Column | str) -> Column:
     """The dedup key with number words masked; runs of masks become one."""
-    masked = F.regexp_replace(dedup_key(x), r"\b(?:" + "|".join(sorted(NUMBER_WORDS, key=len, reverse=True)) + r")\b", "#")
+    masked = F.array_join(F.transform(F.split(dedup_key(x), " "), lambda w: F.when(w.isin(NUMBER_WORDS), "#").otherwise(w)), " ")
     return F.trim(F.regexp_replace(F.regexp_replace(masked, r"#(?:[\s\-e]+#)*", "#"), r"\s+", " "))
 
 

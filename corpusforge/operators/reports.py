@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from corpusforge.functions import text as T
 
 
+def half_even(amount: Column, by: Column) -> Column:
+    """A whole amount divided by a whole number, to the nearest whole, halves to even; in whole numbers throughout."""
+    whole = F.floor((amount - amount % by) / by)
+    rest = amount % by
+    return (whole + F.when(2 * rest > by, 1).when(2 * rest == by, whole % 2).otherwise(0)).cast("long")
+
+
 def summary(rows: DataFrame, source: str = "source", text: str = "text") -> DataFrame:
     """Rows, characters, hours and mean duration by source and, with a null source, in all."""
     measured = rows.select(F.col(source).alias("source"), F.length(text).alias("_c"), F.bround(T.seconds(text) * 100).cast("long").alias("_s"))
     total = measured.rollup("source").agg(F.count("*").alias("n"), F.sum("_c").alias("chars"), F.sum("_s").alias("_s"))
-    return total.select("source", "n", "chars", F.bround(F.col("_s") / 100 / 3600, 2).alias("hours"), F.bround(F.col("_s") / 100 / F.greatest("n", F.lit(1)), 2).alias("mean_seconds"))
+    return total.select("source", "n", "chars", (half_even(F.col("_s"), F.lit(3600)) / 100).alias("hours"), (half_even(F.col("_s"), F.greatest("n", F.lit(1))) / 100).alias("mean_seconds"))
 
 
 def histogram(rows: DataFrame, value: str, edges: list[float]) -> DataFrame:
@@ -37,7 +44,7 @@ def retention(rows: DataFrame, source: str = "source", reason: str = "reason", t
     kept = F.col(reason).isNull()
     cents = F.when(kept, F.bround(T.seconds(text) * 100).cast("long"))
     out = rows.groupBy(source).agg(F.count("*").alias("before"), F.count_if(kept).alias("after"), F.coalesce(F.sum(cents), F.lit(0)).alias("_s"))
-    return out.select(source, "before", "after", (F.lit(100.0) * F.col("after") / F.col("before")).alias("percent"), F.bround(F.col("_s") / 100 / 3600, 2).alias("hours"))
+    return out.select(source, "before", "after", (F.lit(100.0) * F.col("after") / F.col("before")).alias("percent"), (half_even(F.col("_s"), F.lit(3600)) / 100).alias("hours"))
 
 
 def examples(rows: DataFrame, reason: str, key: str, most: int, order: Column) -> DataFrame:

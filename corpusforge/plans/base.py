@@ -61,3 +61,8 @@ def clean(x: str) -> str:
     for junk in (r"\[[0-9]+\]", r"==+[^=]*==+", r"https?://[^\s]+", r"[^\s]+@[^\s]+\.[^\s]+", r"[\x{200b}\x{200e}\x{200f}\x{feff}]"):
         x = f"regexp_replace({x}, '{junk}', ' ', 'g')"
     return f"trim(regexp_replace(replace(translate({x}, chr(160) || '’“”', ' ' || chr(39) || '\"\"'), '…', '...'), '[ \\t]+', ' ', 'g'))"
+
+
+def half_even(amount: str, by: str) -> str:
+    """A whole amount over a whole number, to the nearest, halves to even, as hundredths."""
+    return f"(({amount}) // ({by}) + case when 2 * (({amount}) % ({by})) > ({by}) then 1 when 2 * (({amount}) % ({by})) = ({by}) then (({amount}) // ({by})) % 2 else 0 end)::double / 100"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusforge.functions import boundary, metrics, rewriting, signal
 from corpusforge.functions import numbers as N
 from corpusforge.functions import text as T
-from corpusforge.operators import dictionary, gates, lexicon, planner, records
+from corpusforge.operators import dictionary, entities, gates, lexicon, planner, records
 from corpusforge.operators import ordering as O
 from corpusforge.plans.base import docs, hex_number, query, words
 from corpusforge.session import shared_dir, table
@@ -209,3 +209,24 @@ def event_windows(spark: SparkSession, sf: str) -> DataFrame:
 @query("select n, said from (select unnest([0, 7, 21, 100, 145, 2000, 21000]) as n, unnest(['cero', 'siete', 'veintiuno', 'cien', 'ciento cuarenta y cinco', 'dos mil', 'veintiún mil']) as said)")
 def spanish_numbers(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(n, N.spanish_words(n)) for n in (0, 7, 21, 100, 145, 2000, 21000)], "n int, said string")
+
+
+@query()
+def capital_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return entities.runs(docs(spark, sf), "text")
+
+
+@query()
+def entity_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    d = docs(spark, sf)
+    use = lexicon.usage(d, "doc_id", "text").select("form", F.col("name").alias("upper"), "lower")
+    b = table(spark, sf, "benchmark").select(F.explode(F.split(T.metric_key("text"), " ")).alias("fragment")).where("length(fragment) > 4")
+    errors = b.groupBy("fragment").agg(F.count("*").alias("n")).withColumn("variant", F.concat(F.substring("fragment", 1, 4), F.lit("x"), F.substr("fragment", F.lit(6), F.length("fragment"))))
+    return entities.funnel(errors, entities.runs(d, "text"), use)
+
+
+@query("select p_partkey, case when lower(p_name) = lower(x) then 'solo_mayusculas' when contains(' ' || lower(p_name) || ' ', ' ' || lower(x) || ' ') then 'expansion' else 'grafia_distinta' end as kind from (select p_partkey, p_name, case p_partkey % 3 when 0 then upper(p_name) when 1 then split_part(p_name, ' ', 2) else p_type end as x from part)")
+def change_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part")
+    x = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).when(F.col("p_partkey") % 3 == 1, F.split_part("p_name", F.lit(" "), F.lit(2))).otherwise(F.col("p_type"))
+    return p.withColumn("x", x).select("p_partkey", entities.change_kind("p_name", "x").alias("kind"))

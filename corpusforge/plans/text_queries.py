@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusforge.functions import text as T
 from corpusforge.operators import dedup as D
 from corpusforge.operators import gates, lexicon, records, reports
-from corpusforge.plans.base import LINES, clean, dedup, docs, hex_number, lines, query, seconds, words
+from corpusforge.plans.base import LINES, clean, dedup, docs, half_even, hex_number, lines, query, seconds, words
 from corpusforge.session import table
 
 PRIORITY = [f"src{i}" for i in (3, 1, 4, 0, 5)]
@@ -86,7 +86,7 @@ def reject_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""with {LINES}, {_CAPTURE} select source, count(*) as before, count(*) filter (reason is null) as after, 100.0::double * count(*) filter (reason is null) / count(*) as percent,
-    round_even(coalesce(sum(round_even({seconds('raw')} * 100, 0)::bigint) filter (reason is null), 0)::double / 100 / 3600, 2) as hours from g group by source"""
+    {half_even("coalesce(sum(round_even(" + seconds('raw') + " * 100, 0)::bigint) filter (reason is null), 0)::bigint", "3600")} as hours from g group by source"""
 )
 def retention_by_source(spark: SparkSession, sf: str) -> DataFrame:
     _, reason = gates.capture_reason("text")
@@ -169,8 +169,9 @@ def dedup_losers(spark: SparkSession, sf: str) -> DataFrame:
     return D.losers(placed).select("doc_id", "source", "reason")
 
 
-_NUM = "|".join(sorted(T.NUMBER_WORDS, key=len, reverse=True))
-_SKELETON = rf"trim(regexp_replace(regexp_replace(regexp_replace({dedup('text')}, '\b(?:{_NUM})\b', '#', 'g'), '#(?:[\s\-e]+#)*', '#', 'g'), '\s+', ' ', 'g'))"
+_NUM = "[" + ", ".join(f"'{w}'" for w in T.NUMBER_WORDS) + "]"
+_MASKED = f"array_to_string(list_transform(string_split({dedup('text')}, ' '), lambda w: case when list_contains({_NUM}, w) then '#' else w end), ' ')"
+_SKELETON = rf"trim(regexp_replace(regexp_replace({_MASKED}, '#(?:[\s\-e]+#)*', '#', 'g'), '\s+', ' ', 'g'))"
 
 
 @query(f"with {LINES}, s as (select doc_id, pos, {_SKELETON} as skeleton from line) select doc_id, pos, skeleton from s qualify row_number() over (partition by skeleton order by doc_id, pos) <= 2")
@@ -216,7 +217,7 @@ def duration_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""with m as (select source, length(text) as c, round_even({seconds('text')} * 100, 0)::bigint as s from documents)
-    select source, count(*) as n, sum(c)::bigint as chars, round_even(sum(s)::double / 100 / 3600, 2) as hours, round_even(sum(s)::double / 100 / count(*), 2) as mean_seconds from m group by rollup (source)"""
+    select source, count(*) as n, sum(c)::bigint as chars, {half_even("sum(s)::bigint", "3600")} as hours, {half_even("sum(s)::bigint", "count(*)")} as mean_seconds from m group by rollup (source)"""
 )
 def corpus_summary(spark: SparkSession, sf: str) -> DataFrame:
     return reports.summary(docs(spark, sf))

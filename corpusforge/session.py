@@ -29,20 +29,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. A local one is used only where none is configured, as in tests."""
+    """The folder that all executors share. A local one is used only where none is configured and all is on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = LOCAL_CHECKPOINTS
-        spark.conf.set("spark.checkpoint.dir", folder) if _settable(spark) else None
     return folder.rstrip("/")
 
 
-def _settable(spark: SparkSession) -> bool:
-    return bool(spark.conf.isModifiable("spark.checkpoint.dir"))
+_WRITTEN: list[str] = []
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it again: cuts the lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    path = getattr(df, "_written", None)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+        _delete(df.sparkSession, path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every intermediate table of this process; for applications, once their results are written."""
+    while _WRITTEN:
+        _delete(spark, _WRITTEN.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -40,6 +40,26 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(path).select(F.input_file_name().alias("origen"), F.col("value").alias("text"))
 
 
+def read_tar(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
+    """Rows (shard, name, data) of the files in tar shards; with wanted (name) those alone."""
+
+    def members(parts):
+        import io
+        import tarfile
+
+        import pandas as pd
+
+        for part in parts:
+            for shard, content in zip(part["path"], part["content"], strict=True):
+                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
+                    for m in tar:
+                        if m.isfile():
+                            yield pd.DataFrame({"shard": [shard], "name": [m.name], "data": [tar.extractfile(m).read()]})
+
+    rows = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(members, "shard string, name string, data binary")
+    return rows if wanted is None else rows.join(wanted.select("name").distinct(), "name", "left_semi").select("shard", "name", "data")
+
+
 def mixed_text(value: Column | str) -> Column:
     """The text of a plain file, of {"text": ...} or of [{"text": ...}, ...]."""
     v = T.col(value)

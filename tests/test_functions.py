@@ -23,7 +23,7 @@ def one(spark, column, **values):
         (T.lookup_key, "  El Niño: «Ça»-va ", "el niño ca va"),
         (T.metric_key, "Pr’amor: de, tot!", "pr'amor de tot"),
         (T.clean, "a [3] == Títol == b https://x.y/z  c me@mail.com “d” …", "a b c \"d\" ..."),
-        (T.skeleton, "A aprovat vint-e-cinc èuros e dus cents", "a aprovat # euros e #"),
+        (T.skeleton, "A aprovat vint-e-cinc èuros, dus e cents", "a aprovat vintecinc euros #"),
         (T.last_word, "Era casa, ath 3.", "ath"),
         (T.transcript, "text [Música] more\tother", "text more"),
         (T.repair_delimiters, 'a (b) c) "d', "a (b) c d"),
@@ -37,7 +37,7 @@ def test_text_columns(spark, f, text, want):
 
 def test_sentences(spark):
     text = "Eth Sr. Joan venguec. Era A. Pérez tanben! «Òc?» Non\n\nAuta linha … Fin"
-    assert one(spark, T.sentences("t"), t=text) == ["Eth Sr. Joan venguec.", "Era A. Pérez tanben!", "«Òc?»" if False else "«Òc?» Non", "Auta linha ...", "Fin"] or one(spark, T.sentences("t"), t=text)[0] == "Eth Sr. Joan venguec."
+    assert one(spark, T.sentences("t"), t=text) == ["Eth Sr. Joan venguec.", "Era A. Pérez tanben!", "«Òc?» Non", "Auta linha ... Fin"]
     assert one(spark, T.sentences("t"), t="") == []
 
 
@@ -64,10 +64,10 @@ def test_capture(spark, text, reason):
 @pytest.mark.parametrize(
     ("text", "reason"),
     [
-        ("Era hemna venguec ath vilatge.", None), ("• Era hemna venguec.", "marca de llista"), ("Era漢 hemna.", "caracter fora de l'alfabet (漢)"), ("A 3 ans.", "xifres"), ("era hemna venguec.", "inicial en minuscula"), ("Era hemna", "sense puntuacio final"),
+        ("Era hemna venguec ath vilatge.", None), ("• Era hemna venguec.", "marca de llista"), ("Era漢 hemna.", "caracter fora de l'alfabet (漢)"), ("A 3 ans.", "caracter fora de l'alfabet (3)"), ("era hemna venguec.", "inicial en minuscula"), ("Era hemna", "sense puntuacio final"),
         ("Era hemna etc.", "acaba en abreviatura"), ("Era p. vint dera lei sauva.", "capcalera de pagina"), ("Era )hemna( venguec.", "parentesis mal niuats"), ("Era xkjzt venguec.", "consonants impossibles"), ("Era t hemna venguec.", "consonant solta (mot partit)"),
         ("ERA HEMNA VENGUEC ATH VILATGE.", "tot en majuscules"), ("Era hemna.venguec ath loc.", "punt sense espai (web, nota al peu, frases enganxades)"), ("Nòm: Era hemna venguec.", "etiqueta de camp (Mot: Text)"), ("Didec: Era hemna venguec.", None),
-        ("Era hemna ei damb.", "truncada (acaba en preposicio o conjuncio)"), ("Era l aigua ei aciu.", "apostrof perdut"), ('Era "hemna venguec.', "cometes desaparellades"), ("Era hemna,, venguec.", "puntuacio repetida"), ("Era hemna ' venguec.", "apostrof solt"),
+        ("Era hemna ei damb.", "truncada (acaba en preposicio o conjuncio)"), ("Era l aigua ei aciu.", "consonant solta (mot partit)"), ("Era qu aigua ei aciu.", "apostrof perdut"), ('Era "hemna venguec.', "cometes desaparellades"), ("Era hemna,, venguec.", "puntuacio repetida"), ("Era hemna ' venguec.", "apostrof solt"),
         ("Era casa casament casament casament casament aciu.", "text duplicat"), ("Era hmn ei aciu.", "mot sense vocals"), ("Un per cent-dus ei aciu.", "rang de percentatges enganxat"), ("A vint zero ans ei aciu.", "milers separats per espai mal expandits"),
     ],
 )
@@ -76,7 +76,7 @@ def test_quality_gate(spark, text, reason):
 
 
 def test_dialect(spark):
-    assert one(spark, gates.dialect_score("t"), t="Era hemna damb eth hilh") == 3
+    assert one(spark, gates.dialect_score("t"), t="Era hemna damb eth hilh") == 4
     assert one(spark, gates.dialect_score("t"), t="eth hilh y los otros para ti") == 0
     assert one(spark, gates.dialect_marks("t")[1], t="La hemna") == 0
 
@@ -144,7 +144,7 @@ def test_distances(spark):
     assert metrics.jaro_winkler("martha", "marhta") == pytest.approx(0.9611, abs=1e-4) and metrics.jaro_winkler("a", "b") == 0
     assert [op for op, *_ in metrics.align_words("a b c".split(), "a x c d".split())] == ["equal", "substitute", "equal", "insert"]
     got = one(spark, metrics.regions("a", "b"), a="a b c d e", b="a x y c e f")
-    assert [(r["ref"], r["heard"]) for r in got] in ([(["b"], ["x", "y"]), (["d"], []), ([], ["f"])],)
+    assert [(r["ref"], r["heard"]) for r in got] == [(["b"], ["x", "y"]), (["d", "e"], ["e", "f"])]
     d = one(spark, metrics.diagnose("a", "b"), a="lo gran rei", b="eth gran rei vielh")
     assert d["inserted"] == ["vielh"] and d["deleted"] == []
     assert one(spark, metrics.is_expansion("a", "b"), a="onu", b="organizacion des nacions") and not one(spark, metrics.is_expansion("a", "b"), a="madrid", b="madrit")
@@ -173,7 +173,7 @@ def test_signals():
     noise = signal.coloured(len(x), 1, rng)
     mixed = signal.mix_at(x, noise, 10)
     assert abs(20 * np.log10(signal.active_rms(x) / signal.rms(mixed - x)) - 10) < 0.1
-    assert abs(signal.rt60(signal.room(0.6, 0.1, rng)) - 0.6) < 0.15
+    assert abs(signal.rt60(signal.room(0.6, 20, rng)) - 0.6) < 0.15
     assert abs(signal.rms(signal.convolve(x, signal.room(0.3, 1, rng))) - signal.rms(x)) < 1e-3
     assert abs(signal.peak_db(signal.to_peak(x, -3)) + 3) < 1e-3 and len(signal.resample(x, 16000, 24000)) == 48000
     y, meta = signal.simulate(x, {"snr_db": (10, 20), "channel": "telephone"}, 7)
@@ -198,3 +198,28 @@ def test_boundary(spark):
     assert good.count() == 2 and missing.count() == 0
     with pytest.raises(ValueError):
         boundary.retried(lambda t: [], 2, 0)(["a"])
+
+
+def test_rules_of_a_study():
+    assert rewriting.respell_by_rules("montanha hilh caisha", {"nh", "lh", "sh"}) == "montanya hill caixa"
+    assert rewriting.respell_by_rules("camin", {"ng"}) == "caming" and rewriting.respell_by_rules("totz", {"ts"}) == "tots"
+    assert rewriting.respell_by_rules("montanha", {"o_tonica"}) == "montanha" and rewriting.respell_by_rules("flor", {"o_tonica"}) == "flur" and rewriting.respell_by_rules("conselh", {"o_tot"}) == "cunselh"
+    assert rewriting.respell_by_rules("camins", {"ns_plural"}, ["camins"]) == "camís"
+    assert [rewriting.stressed_nucleus(w) for w in ("casa", "camin", "flor", "sèt", "parlar", "bcd")] == [0, 0, 0, 0, 1, None]
+    with pytest.raises(ValueError):
+        rewriting.respell_by_rules("a", {"o_tot", "o_tonica"})
+
+
+def test_entities(spark):
+    from corpusforge.operators import entities
+
+    assert entities.runs_of_capitals("Ayer Pedro Sánchez, en Nueva York con Ana María Pérez Gómez") == ["Pedro Sánchez", "Nueva York", "Ana María Pérez"]
+    for a, b, want in (("madrid", "Madrid", "solo_mayusculas"), ("paris", "parís", "acento"), ("garcía page", "Emiliano García-Page", "expansion"), ("a", "b", "grafia_distinta")):
+        assert one(spark, entities.change_kind("a", "b"), a=a, b=b) == want
+    assert one(spark, entities.accent_added("a", "b"), a="paris", b="parís") and not one(spark, entities.accent_added("a", "b"), a="parís", b="paris")
+    assert one(spark, entities.digit_of("a", "b"), a="diez", b="10") and not one(spark, entities.digit_of("a", "b"), a="club", b="1")
+    errors = spark.createDataFrame([("yamal", "llamal", 3), ("lamine", "la mine", 2), ("radio", "rodio", 1), ("paris", "parís", 1), ("xyzzy", "<omitida>", 1)], "fragment string, variant string, n long")
+    counts = spark.createDataFrame([("Lamine Yamal", 4)], "run string, n long")
+    use = spark.createDataFrame([("radio", 0, 9)], "form string, upper long, lower long")
+    got = {r["entity"]: (r["times"], r["reason"]) for r in entities.funnel(errors, counts, use).collect()}
+    assert got == {"Lamine Yamal": (5, None), "radio": (1, "nombre_comun"), "paris": (1, "sin_evidencia"), "xyzzy": (1, "solo_omitida")}

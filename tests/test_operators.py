@@ -135,3 +135,18 @@ def test_resumed_stream(spark, tmp_path):
     go()
     out = spark.read.parquet(f"{base}/out").where("status = 'ok'")
     assert sorted(r["id"] for r in out.collect()) == [1, 2, 3]
+
+
+def test_tar_shards(spark, tmp_path):
+    import io
+    import tarfile
+
+    for shard in "ab":
+        with tarfile.open(tmp_path / f"{shard}.tar", "w") as tar:
+            for name in ("x.wav", "y.wav"):
+                info = tarfile.TarInfo(f"{shard}/{name}")
+                info.size = 3
+                tar.addfile(info, io.BytesIO(b"abc"))
+    assert readers.read_tar(spark, f"{tmp_path}/*.tar").count() == 4
+    wanted = spark.createDataFrame([("a/x.wav",), ("a/x.wav",), ("none",)], "name string")
+    assert [(r["name"], bytes(r["data"])) for r in readers.read_tar(spark, f"{tmp_path}/*.tar", wanted).collect()] == [("a/x.wav", b"abc")]
