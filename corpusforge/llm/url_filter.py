@@ -8,6 +8,7 @@ weight in a constant array, and the weights are summed. Weights are whole number
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 from functools import cache
 
@@ -106,7 +107,8 @@ def judge(pages: DataFrame, url_col: str = "url", rules: tuple[tuple[str, str, s
     A rule fits its host and all subdomains where the path starts with the rule's; the longest (host and path
     together) wins, the first of equals. Without a rule the verdict is block where the model's score is above
     zero. A null URL or one without :// has an empty host and path; no rule fits it and the model judges it by its
-    bias. URLs of any length are judged as a whole; columns of pages are passed on.
+    bias. URLs of any length are judged as a whole; columns of pages are passed on, those of the five names
+    replaced; an empty table gives an empty result, repeated rows are judged each.
     """
     bias, weights = fit(labelled)
     dense = [0] * SLOTS
@@ -119,9 +121,10 @@ def judge(pages: DataFrame, url_col: str = "url", rules: tuple[tuple[str, str, s
     for kind, h, p in sorted(rules, key=lambda r: len(r[1]) + len(r[2])):
         fits = ((F.col("host") == h) | F.col("host").endswith(f".{h}")) & F.col("path").startswith(p)
         rule, verdict = F.when(fits, f"{h}{p}").otherwise(rule), F.when(fits, kind).otherwise(verdict)
-    table = F.lit(dense)
+    # one literal after constant folding; as an array of literals the plan would have as many nodes
+    table = F.from_json(F.lit(json.dumps(dense, separators=(",", ":"))), "array<bigint>")
     used = F.concat(_slots("h", F.concat(F.lit("^"), F.col("host"), F.lit("$"))), _slots("p", F.col("path")))
-    total = F.aggregate(used, F.lit(bias).cast("long"), lambda a, k: a + F.get(table, k).cast("long"))
+    total = F.aggregate(used, F.lit(bias).cast("long"), lambda a, k: a + F.get(table, k))
     return out.withColumns({"rule": rule, "score": total}).withColumn("verdict", F.coalesce(verdict, F.when(F.col("score") > 0, "block").otherwise("allow")))
 
 
