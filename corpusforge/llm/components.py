@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.session import materialize
+from corpusforge.session import discard, materialize
 
 
 def _digest(links: DataFrame) -> tuple:
@@ -33,7 +33,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
-        now, before, seen = after, seen, _digest(after)
+        before, seen = seen, _digest(after)
+        discard(now)
+        now = after
         if before == seen:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

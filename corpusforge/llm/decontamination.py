@@ -96,6 +96,6 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all their columns, that hold no item. Null texts stay."""
-    found = contaminated(docs, items, id_col, text_col).select(F.struct("doc_id", "doc_hash").alias("_k")).distinct()
+    found = contaminated(docs, items, id_col, text_col).select(F.struct("doc_id", "doc_hash").alias("__leak")).distinct()
     key = F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("doc_hash"))
-    return docs.join(found, key.eqNullSafe(F.col("_k")), "left_anti")
+    return docs.join(found, key.eqNullSafe(F.col("__leak")), "left_anti")

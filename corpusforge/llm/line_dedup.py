@@ -46,18 +46,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines end at \\n only and are compared as they are. Texts of fewer than three lines and null texts have no
     window and stay as they are; windows without any word are no repeats. A text all of whose lines are covered
     becomes empty. Rows that repeat doc_id and text are one document: all keep the same lines. A null doc_id comes
-    before all others. Other columns of docs are passed on, whatever their names.
+    before all others. Other columns of docs are passed on; details replaces columns of its names.
     """
     key = F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("doc_hash"))
-    found = covered_lines(docs, id_col, text_col).select(F.struct("doc_id", "doc_hash").alias("_k"), F.col("covered").alias("_covered"))
-    joined = docs.withColumn("_d", key).join(found, F.col("_d").eqNullSafe(F.col("_k")), "left")
-    lines = F.split(text_col, "\n")
-    kept = F.array_join(F.expr("filter(_lines, (x, i) -> not array_contains(_covered, i))"), "\n")
-    text = F.when(F.col("_covered").isNull(), F.col(text_col)).otherwise(kept).alias(text_col)
-    more = []
-    if details:
-        more = [F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"), F.when(F.col("_covered").isNull(), 0).otherwise(F.size("_covered")).cast("long").alias("n_removed")]
-    return joined.withColumn("_lines", lines).select(*[text if c == text_col else F.col(c) for c in docs.columns], *more)
+    found = covered_lines(docs, id_col, text_col).select(F.struct("doc_id", "doc_hash").alias("__ld_found"), F.col("covered").alias("__ld_covered"))
+    marked = docs.withColumns({"__ld_key": key, "__ld_lines": F.split(text_col, "\n")})
+    joined = marked.join(found, F.col("__ld_key").eqNullSafe(F.col("__ld_found")), "left")
+    kept = F.array_join(F.expr("filter(__ld_lines, (x, i) -> not array_contains(__ld_covered, i))"), "\n")
+    text = F.when(F.col("__ld_covered").isNull(), F.col(text_col)).otherwise(kept).alias(text_col)
+    count = lambda name: F.coalesce(F.when(F.col(name).isNotNull(), F.size(name)), F.lit(0)).cast("long")
+    more = {"n_lines": count("__ld_lines"), "n_removed": count("__ld_covered")} if details else {}
+    return joined.select(*[text if c == text_col else F.col(c) for c in docs.columns if c not in more], *[c.alias(n) for n, c in more.items()])
 
 
 ORACLE = r"""

@@ -200,7 +200,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Empty and null texts get the score of a chunk of zeros. Without labels of both classes every score is the
     smoothed share of label 1. Null ids are not held out and never learnt from; labels of null ids or null quality
-    are ignored, of repeated ids one label and one text count. Columns of docs are passed on.
+    are ignored, of repeated ids one label and one text count. Columns of docs are passed on,
+    those of the three names replaced.
     """
     model = train(docs, labels, id_col, text_col)
     scored = docs.withColumns({"held_out": held_out(id_col), "score": score_column(model, text_col)})
@@ -210,4 +211,4 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, as they are, that the classifier doesn't reject."""
     score = score_column(train(docs, labels, id_col, text_col), text_col)
-    return docs.withColumn("_score", score).where("_score >= 0.5").drop("_score")
+    return docs.withColumn("__cnn_score", score).where("__cnn_score >= 0.5").drop("__cnn_score")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusforge.session import materialize
+from corpusforge.session import discard, materialize
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -204,7 +204,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     params = materialize(_start(usable), "estimate")
     shrunk = CORE / gamma_share((P + 2) / 2, chi2_quantile(CORE, P) / 2)
     for _ in range(STEPS):
-        params = materialize(_concentrate(usable, params).mapInArrow(_estimates(shrunk), PARAMS), "estimate")
+        after = materialize(_concentrate(usable, params).mapInArrow(_estimates(shrunk), PARAMS), "estimate")
+        discard(params)
+        params = after
     inner = chi2_quantile(0.975, P)
     once = _measured(usable, params).where(F.col("d2") <= inner).groupBy("gid").agg(*_moments())
     wide = 0.975 / gamma_share((P + 2) / 2, inner / 2)

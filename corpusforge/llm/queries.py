@@ -20,7 +20,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return simhash.simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,15 +82,15 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 3) -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint as a signed long. Null and empty texts have fingerprint 0."""
+    """Rows (doc_id, doc_hash, fp): the text's hash, the fingerprint as a signed long; 0 for null and empty texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.fromiter((fingerprint(x.as_py(), ngram) for x in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            out = np.fromiter((fingerprint(x.as_py(), ngram) for x in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out.view(np.int64))], ["doc_id", "doc_hash", "fp"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, fp long")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("doc_hash"), F.col(text_col).cast("binary").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, doc_hash long, fp long")
 
 
 class Golay:
@@ -280,7 +280,7 @@ def links(prints: DataFrame, max_distance: int = 3, block: int = BLOCK) -> DataF
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 3, max_distance: int = 3) -> DataFrame:
-    """Rows (doc_id, fingerprint, component_id), one for each row of docs.
+    """Rows (doc_id, doc_hash, fingerprint, component_root, component_id), one for each row of docs.
 
     component_id is the smallest doc_id reachable over links of max_distance bits or fewer, its own included.
     Null and empty texts have fingerprint zero and link like any other; repeated rows come back as often as they
@@ -292,17 +292,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = connected_components(links(classes, max_distance))
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(least, "root").select("fp", "component_id")
+    by_print = rooted.join(least, "root").select("fp", F.col("root").alias("component_root"), "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return prints.join(by_print, "fp").select("doc_id", hexed, "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "doc_hash", hexed, "component_root", "component_id")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 3, max_distance: int = 3) -> DataFrame:
-    """The rows of docs, all their columns, of which each component keeps its smallest doc_id.
+    """The rows of docs, all their columns, of which each component keeps one: its smallest doc_id.
 
-    Rows with a null doc_id are kept: they can't be told apart. Of rows that repeat that doc_id one stays.
+    Where rows repeat that doc_id the least text hash decides, and of equal texts one row stays. Rows with a null
+    doc_id are kept: they can't be told apart.
     """
     found = simhash_components(docs, id_col, text_col, ngram, max_distance)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, docs[id_col].cast("long") == F.col("_keep"), "left_semi").dropDuplicates([id_col])
+    chosen = found.where("doc_id = component_id").groupBy("component_root", F.col("component_id").alias("__sh_component")).agg(F.min("doc_hash").alias("__sh_least"))
+    marked = docs.withColumns({"__sh_id": F.col(id_col).cast("long"), "__sh_hash": F.xxhash64(text_col)})
+    stays = (F.col("__sh_id") == F.col("__sh_component")) & (F.col("__sh_hash") == F.col("__sh_least"))
+    kept = marked.join(chosen, stays, "left_semi").dropDuplicates(["__sh_id", "__sh_hash"]).select(*docs.columns)
     return kept.unionByName(docs.where(F.col(id_col).isNull()))

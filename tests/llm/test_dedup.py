@@ -103,7 +103,7 @@ def near_copies(seed=5):
 
 def test_simhash_against_brute_force(spark):
     rows = near_copies()
-    got = sorted(((r[0], r[1], r[2]) for r in simhash.simhash_components(frame(spark, rows)).collect()), key=repr)
+    got = sorted(((r["doc_id"], r["fingerprint"], r["component_id"]) for r in simhash.simhash_components(frame(spark, rows)).collect()), key=repr)
     assert got == brute_components(rows)
     assert simhash.simhash_components(frame(spark, [])).count() == 0
 
@@ -180,3 +180,10 @@ def test_one_of_each_group_stays(spark):
     low = {c for i, _, c in brute_components(rows) if i is not None}
     assert sorted(x for x in kept if x is not None) == sorted(low) and None in kept
     assert F is not None
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """Where an id is repeated, rows of different groups all stay, of one group one stays."""
+    rows = [(5, "a b c"), (5, "p q r s"), (5, "a b c"), (7, "A b c"), (None, "a b c")]
+    kept = sorted(map(tuple, simhash.near_dedup(frame(spark, rows)).collect()), key=repr)
+    assert kept == sorted([(5, "a b c"), (5, "p q r s"), (None, "a b c")], key=repr)
