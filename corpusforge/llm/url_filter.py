@@ -94,10 +94,12 @@ def score(url: str | None, labelled: tuple[tuple[str, int], ...] = LABELLED) ->
 
 def _slots(name: str, text: Column) -> Column:
     """The slots of a text's n-grams, as an array."""
-    each = [
-        F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i, n=n: F.concat(F.lit(name), F.substr(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
-        for n in SIZES
-    ]
+
+    def cut(n: int) -> Column:  # the lambda takes one argument only: a second would be the element's place
+        grams = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.concat(F.lit(name), F.substr(text, i, F.lit(n))))
+        return F.when(F.length(text) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    each = [cut(n) for n in SIZES]
     return F.transform(F.concat(*each), lambda g: F.conv(F.substring(F.md5(g), 1, 4), 16, 10).cast("int") % SLOTS)
 
 

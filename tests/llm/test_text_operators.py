@@ -227,7 +227,8 @@ def test_leaks_against_brute_force(spark, most):
         _, q = rng.choice(items)
         part = list(q) if i % 3 else list(q)[rng.randrange(3) : len(q) - rng.randrange(6)]
         for _ in range(rng.randrange(5)):
-            part[rng.randrange(len(part))] = rng.choice(words)
+            if part:
+                part[rng.randrange(len(part))] = rng.choice(words)
         docs.append((i, " ".join(draw(rng.randrange(30)) + part + draw(rng.randrange(30)))))
     texts = [(k, ", ".join(q).upper()) for k, q in items] + [(100, None), (101, ""), (102, texts_of(items, 0))]
     docs += [(200, None), (201, ""), (202, texts_of(items, 0)), (202, texts_of(items, 0)), (203, LONG[:20_000] + texts_of(items, 1)), (None, texts_of(items, 6))]
