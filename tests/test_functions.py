@@ -37,7 +37,7 @@ def test_text_columns(spark, f, text, want):
 
 def test_sentences(spark):
     text = "Eth Sr. Joan venguec. Era A. Pérez tanben! «Òc?» Non\n\nAuta linha … Fin"
-    assert one(spark, T.sentences("t"), t=text) == ["Eth Sr. Joan venguec.", "Era A. Pérez tanben!", "«Òc?» Non", "Auta linha ... Fin"]
+    assert one(spark, T.sentences("t"), t=text) == ["Eth Sr. Joan venguec.", "Era A. Pérez tanben!", "«Òc?»", "Non", "Auta linha ...", "Fin"]
     assert one(spark, T.sentences("t"), t="") == []
 
 
