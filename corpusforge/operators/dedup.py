@@ -64,15 +64,22 @@ def containing(rows: DataFrame, items: DataFrame, text: str, item_id: str, item_
     word grams of that length in the rows; the containment is then checked as it is.
     """
     spread = items.select(F.col(item_id).alias("item_id"), T.dedup_key(item_text).alias("item_key")).where("item_key <> ''")
-    spread = spread.withColumn("n", F.least(F.lit(gram), F.size(F.split("item_key", " "))))
-    probe = spread.withColumn("gram", F.xxhash64("n", F.array_join(F.slice(F.split("item_key", " "), F.lit(1), F.col("n")), " ")))
-    lengths = F.array(*[F.lit(n) for n in range(1, gram + 1)])
-    keyed = rows.withColumns({"_key": T.dedup_key(text)}).withColumn("_words", F.split("_key", " "))
-    grams = F.flatten(
-        F.transform(lengths, lambda n: F.when(F.size("_words") >= n, F.transform(F.sequence(F.lit(1), F.size("_words") - n + 1), lambda i: F.xxhash64(n, F.array_join(F.slice("_words", i, n), " ")))).otherwise(F.array().cast("array<bigint>")))
-    )
-    hit = keyed.withColumn("gram", F.explode(F.array_distinct(grams))).drop("_words").join(probe, "gram")
-    return hit.where(F.concat(F.lit(" "), F.col("_key"), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("item_key"), F.lit(" ")))).drop("gram", "n", "_key", "item_key")
+    spread = spread.withColumn("_w", F.split("item_key", " ")).withColumn("n", F.least(F.lit(gram), F.size("_w")))
+    hashed = lambda w, i, n: F.xxhash64(F.lit(n), *[F.get(w, i + k) for k in range(n)])
+    lengths = sorted(r[0] for r in spread.select("n").distinct().collect())  # gram numbers at most
+    if not lengths:
+        return rows.withColumn("item_id", F.lit(None).cast(items.schema[item_id].dataType)).where("false")
+    first = F.coalesce(*[F.when(F.col("n") == n, hashed(F.col("_w"), F.lit(0), n)) for n in lengths])
+    probe = spread.select("item_id", "item_key", first.alias("gram"))
+    keyed = rows.withColumn("__key", T.dedup_key(text)).withColumn("__hash", F.xxhash64("__key"))
+    words = keyed.where("__key is not null").select("__hash", F.split("__key", " ").alias("w"))
+    # only hashes are multiplied, never texts
+    at = words.select("__hash", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
+    each = F.array(*[F.when(F.col("i") + n <= F.size("w"), hashed(F.col("w"), F.col("i"), n)) for n in lengths])
+    grams = at.select("__hash", F.explode(each).alias("gram")).where("gram is not null")
+    met = grams.join(probe, "gram").select("__hash", "item_id", "item_key").distinct()
+    hit = keyed.join(met, "__hash")
+    return hit.where(F.concat(F.lit(" "), F.col("__key"), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("item_key"), F.lit(" ")))).drop("__key", "__hash", "item_key")
 
 
 def semi_self(rows: DataFrame, key: str, role: str, first: str, second: str) -> DataFrame:
