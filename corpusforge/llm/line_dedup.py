@@ -14,7 +14,7 @@ WINDOW = 3
 
 
 def _hashes(expr: str) -> str:
-    """Two 64-bit hashes of three neighbouring entries of the array h, from line i on."""
+    """Two 64-bit hashes of three neighbouring entries of the array h, from line i on; no entry is null, as hashes skip nulls."""
     return f"struct(xxhash64(h[{expr}], h[{expr} + 1], h[{expr} + 2]) as w1, xxhash64(7, h[{expr} + 2], h[{expr}], h[{expr} + 1]) as w2)"
 
 
@@ -23,10 +23,10 @@ def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("doc_hash"), F.split(text_col, "\n").alias("l"))
     slim = slim.where(f"size(l) >= {WINDOW}")
     hashed = slim.select(
-        "doc_id", "doc_hash", F.expr(r"transform(l, x -> if(x rlike '[^\\x20\\x09-\\x0D]', struct(xxhash64(x) as a, xxhash64(x, 7) as b), null))").alias("h")
+        "doc_id", "doc_hash", F.expr(r"transform(l, x -> struct(xxhash64(x) as a, xxhash64(x, 7) as b, x rlike '[^\\x20\\x09-\\x0D]' as word))").alias("h")
     )
     at = hashed.select("doc_id", "doc_hash", "h", F.expr(f"explode(sequence(0, size(h) - {WINDOW}))").alias("at"))
-    at = at.where("h[at] is not null or h[at + 1] is not null or h[at + 2] is not null")
+    at = at.where("h[at].word or h[at + 1].word or h[at + 2].word")
     return at.select("doc_id", "doc_hash", "at", F.expr(_hashes("at")).alias("w")).select("doc_id", "doc_hash", "at", "w.w1", "w.w2")
 
 

@@ -39,6 +39,16 @@ def test_line_dedup_against_brute_force(spark):
     assert got == brute_lines(rows)
 
 
+def test_blank_lines_keep_their_places(spark):
+    """Windows with blank lines at the start, middle and end are equal only if the blanks stand in the same places."""
+    rng = random.Random(4)
+    rows = [(1, "p\n\nlast\n\n"), (2, "A\n\n\nB"), (3, "\n\nA\n\n\n"), (4, "\nA\nB"), (5, "A\n\nB"), (6, "A\nB\n"), (7, "A\n \nB"), (8, "x\n\n\nonce\n\n\ny"), (9, "A\n\nB")]
+    rows += [(100 + i, "\n".join(rng.choice(["", "", " ", "a", "b", f"u{i}"]) for _ in range(rng.randrange(3, 12)))) for i in range(40)]
+    got = sorted(((r[0], r[1]) for r in line_dedup.dedup_lines(frame(spark, rows)).select("doc_id", "text").collect()), key=repr)
+    assert got == brute_lines(rows)
+    assert (1, "p\n\nlast\n\n") in got and (8, "x\n\n\nonce\n\n\ny") in got
+
+
 def test_line_dedup_columns_and_empty(spark):
     rows = [(1, "a\nb\nc", 1, 2, 3), (2, "a\nb\nc\nd", 4, 5, 6)]
     clash = frame(spark, rows, "doc_id long, text string, starts int, covered int, at int")
