@@ -1,14 +1,15 @@
 """LM scoring by cross-entropy difference.
 
-Two bigram models, interpolated with unigrams, share one vocabulary: words by their hash in VOCABULARY classes, with
-a class for the start of a text; bigrams are counted in PAIRS slots. The target model is counted over the documents
-that labels call good, the background model over all documents, its counts scaled to the target's number of tokens,
-so both are models of corpora of one size with the same smoothing. Each token's loss under the target less its loss
-under the background is averaged: the lower a document's score, the nearer it is to the target.
-
-Counts cover every document whole; each task adds up its own before the shuffle and sends them packed. The tables have a
-fixed number of slots, so what is sent to the workers has a proven bound, VOCABULARY + PAIRS counts of four bytes a model, however
-large the corpus; what is gathered grows with it.
+Two bigram models, interpolated with unigrams. The target model is counted over the documents that labels call good,
+the background model over all documents, its counts scaled to the target's number of tokens, so both are models of
+corpora of one size with the same smoothing. Each token's loss under the target less its loss under the background is
+averaged: the lower a document's score, the nearer it is to the target.
+
+Counts are exact: words, contexts and bigrams are told apart by 64-bit hashes, and no table has a fixed size. Documents
+are dealt into lots. A lot asks for the counts of the distinct words and bigrams in it and gives its own; askers meet by
+ranges of the hash, where counts are added up and sent back in the order asked; the lot then scores its texts. What a
+task holds is one lot or one range; nothing is gathered or broadcast. Both the distinct entries and the shuffles grow
+with the corpus.
 """
 
 from __future__ import annotations
@@ -21,17 +22,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-VOCABULARY, PAIRS = 1 << 18, 1 << 21
+#: Smoothing spreads SMOOTH counts to each of so many words, met or not.
+VOCABULARY = 1 << 18
 MIX, SMOOTH = 0.6, 0.5
 #: Multipliers of the pair hash: odd, any others would do.
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: The start of a text; as a counted word it stands for all tokens.
 START = 0
-#: Slots of a task's texts that are counted at once, and slots in a row of counts.
-LOT, BLOCK = 1_500_000, 4096
+#: Bytes of text in a lot, the fewest lots, and bytes of text for each range of hashes beyond the fewest ranges.
+LOT, LOTS, RANGE, RANGES = 16 << 20, 128, 64 << 20, 512
 
 
 class Words:
-    """Vocabulary classes of words; remembers those it has seen while they are few enough."""
+    """64-bit hashes of words, behind START; remembers those it has seen while they are few enough."""
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
@@ -40,124 +43,185 @@ class Words:
         words, known = text.lower().split(), self.known
         if len(known) > 500_000:
             known.clear()
-        out = np.empty(len(words) + 1, np.int64)
+        out = np.empty(len(words) + 1, np.uint64)
         out[0] = START
         for i, w in enumerate(words, 1):
             k = known.get(w)
             if k is None:
-                k = known[w] = 1 + xxhash.xxh64_intdigest(w) % (VOCABULARY - 1)
+                k = known[w] = xxhash.xxh64_intdigest(w) or 1
             out[i] = k
-        return out
+        return out.view(np.int64)
 
 
 def pair_slots(ids: np.ndarray) -> np.ndarray:
-    """Slots of the bigrams of a text's classes."""
-    x, y = ids[:-1].astype(np.uint64), ids[1:].astype(np.uint64)
-    h = (x * A) ^ (y * B)
-    return (((h ^ (h >> np.uint64(29))) * B) >> np.uint64(64 - 21)).astype(np.int64)
+    """64-bit hashes of the bigrams of a text's words."""
+    x, y = ids[:-1].view(np.uint64), ids[1:].view(np.uint64)
+    h = (x ^ (x >> np.uint64(31))) * A + (y ^ (y >> np.uint64(29))) * B
+    h = (h ^ (h >> np.uint64(32))) * A
+    return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
-SIZE = 2 * VOCABULARY + PAIRS
+def _packed(rows: np.ndarray) -> bytes:
+    """Whole numbers, bytes of one place together and compressed, behind their width, rows and columns."""
+    top = int(rows.max(initial=0))
+    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+    places = rows.astype(f"<u{width}", order="C").view(np.uint8).reshape(-1, width).T
+    return bytes([width, len(rows)]) + rows.shape[1].to_bytes(4, "little") + pa.Codec("zstd").compress(places.tobytes(), asbytes=True)
 
 
-def _packed(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Both tables in blocks of slots, each in the fewest bytes a count that hold its largest; empty blocks are left out."""
-    ids, widths, data = [], [], []
-    for block in range(SIZE // BLOCK):
-        part = sums[:, block * BLOCK : (block + 1) * BLOCK]
-        top = int(part.max())
-        if top:
-            width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-            ids.append(block)
-            widths.append(width)
-            data.append(part.astype(f"<u{width}").tobytes())
-    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(widths, pa.int32()), pa.array(data, pa.binary())], ["block", "width", "data"])
+def _unpacked(data: bytes) -> np.ndarray:
+    width, n, m = data[0], data[1], int.from_bytes(data[2:6], "little")
+    places = np.frombuffer(pa.Codec("zstd").decompress(data[6:], width * n * m, asbytes=True), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(places.T).view(f"<u{width}").reshape(n, m)
 
 
-def _unpacked(width: int, data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{width}").reshape(2, BLOCK).astype(np.int64)
+def _gaps(keys: np.ndarray) -> bytes:
+    """Sorted hashes, packed as the gaps between them."""
+    return _packed(np.diff(keys, prepend=np.uint64(0))[None])
 
 
-def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", target: DataFrame | None = None) -> DataFrame:
-    """Rows (block, width, data): the counts of target documents and of all, BLOCK slots a row.
+def _hashes(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data)[0], dtype=np.uint64)
 
-    Slots from 0 are words, from VOCABULARY contexts, from 2 * VOCABULARY bigrams. target holds the ids (column id).
-    Each task adds up what it reads and sends one row a block; a block's rows are added one by one as they come.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, sums, held = Words(), np.zeros((2, SIZE), np.int64), [[], []]
+def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each range of hashes starts in sorted keys, and their end."""
+    starts = np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64)
+    return np.concatenate(([0], np.searchsorted(keys, starts), [len(keys)])).astype(np.int64)
 
-        def add() -> None:
-            for k in (0, 1):
-                if held[k]:
-                    sums[k] += np.bincount(np.concatenate(held[k]), minlength=SIZE)
-                    held[k].clear()
 
-        waiting = 0
-        for batch in batches:
-            for text, good in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                ids = words(text.as_py() or b"")
-                slots = np.concatenate([ids[1:], VOCABULARY + ids[:-1], 2 * VOCABULARY + pair_slots(ids)])
-                held[1].append(slots)
-                if good:
-                    held[0].append(slots)
-                waiting += len(slots)
-                if waiting > LOT:
-                    add()
-                    waiting = 0
-        add()
-        yield from _packed(sums)
-
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total = None, None
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([8], pa.int32()), pa.array([total.astype("<u8").tobytes()], pa.binary())], ["block", "width", "data"])
+class Lot:
+    """The texts of one lot, its distinct hashes and where each token's lie among them."""
 
-        for batch in batches:
-            for block, width, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if block != now:
-                    if now is not None:
-                        yield out()
-                    now, total = block, np.zeros((2, BLOCK), np.int64)
-                total += _unpacked(width, data)
-        if now is not None:
-            yield out()
-
-    slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("text"))
-    if target is None:
-        marked = slim.select("text", F.lit(False).alias("good"))
-    else:
-        # by a shuffle at every size: the ids grow with the corpus
-        ids = target.select(F.col("id").alias("_t")).where("_t is not null").distinct().hint("merge")
-        marked = slim.join(ids, F.col("_id") == F.col("_t"), "left").select("text", F.col("_t").isNotNull().alias("good"))
-    schema = "block int, width int, data binary"
-    parts = marked.mapInArrow(run, schema).repartition("block").sortWithinPartitions("block")
-    return parts.mapInArrow(reduce, schema)
-
-
-class Model:
-    """Both models' tables, dense, in floats; pickled once to each worker by a broadcast."""
-
-    def __init__(self, of_target: np.ndarray, of_all: np.ndarray) -> None:
-        self.total, everything = float(of_target[:VOCABULARY].sum()), float(of_all[:VOCABULARY].sum())
-        scale = self.total / everything if everything else 1.0
-        self.tables = np.stack([of_target.astype(np.float32), (of_all * scale).astype(np.float32)])
-
-    def losses(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each token's loss in nats under the target and the background."""
-        pair = 2 * VOCABULARY + pair_slots(ids)
+    def __init__(self, texts: list[np.ndarray]) -> None:
+        self.lengths = np.array([len(ids) - 1 for ids in texts], np.int64)
+        join = lambda x: np.concatenate([np.zeros(0, np.int64), *x]).view(np.uint64)
+        tokens = [join(ids[1:] for ids in texts), join(ids[:-1] for ids in texts), join(pair_slots(ids) for ids in texts)]
+        self.keys, at = np.unique(np.concatenate([np.zeros(1, np.uint64), *tokens]), return_inverse=True)
+        self.at = at[1:].reshape(3, -1)
+
+    def counts(self, good: np.ndarray) -> np.ndarray:
+        """For each hash the occurrences in good texts and in all, and those less the ones as contexts.
+
+        The first hash, START's, has the number of tokens for its occurrences.
+        """
+        mine, out = np.repeat(good, self.lengths), []
+        for word, context, pair in (self.at[:, mine], self.at):
+            words, contexts, pairs = (np.bincount(x, minlength=len(self.keys)) for x in (word, context, pair))
+            words[0] = len(word)
+            out.append((words + pairs, np.where(words > 0, words - contexts, 0)))
+        return np.stack([x[k] for k in (0, 1) for x in out])
+
+    def losses(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's mean loss in nats under the target and the background; table has the corpus' counts."""
+        total, everything = table[:2, 0].astype(float)
+        models = [(table[0], table[2], 1.0), (table[1], table[3], total / everything)] if total else [(table[1], table[3], 1.0)] * 2
+        total = total or everything
+        word, context, pair = self.at
+        some = np.flatnonzero(self.lengths)
+        starts = (np.cumsum(self.lengths) - self.lengths)[some]
         out = []
-        for t in self.tables:
-            single = (t[ids[1:]] + SMOOTH) / (self.total + SMOOTH * VOCABULARY)
-            context = t[VOCABULARY + ids[:-1]]
-            double = np.minimum(t[pair] / np.maximum(context, 1e-9), 1)
-            known = context > 0
-            out.append(-np.log(np.where(known, MIX * double, 0) + np.where(known, 1 - MIX, 1) * single))
+        for counts, last, scale in models:
+            single = (counts[word] * scale + SMOOTH) / (total + SMOOTH * VOCABULARY)
+            before = counts[context] - last[context]
+            double = counts[pair] / np.maximum(before, 1)
+            known = before > 0
+            loss = -np.log(np.where(known, MIX * np.minimum(double, 1), 0) + np.where(known, 1 - MIX, 1) * single)
+            means = np.zeros(len(self.lengths))
+            if len(some):
+                means[some] = np.add.reduceat(loss, starts) / self.lengths[some]
+            out.append(means)
         return out[0], out[1]
 
 
+DEALT = "lot long, kind int, id long, size int, range int, data binary"
+IDS, TEXT, ANSWER = 0, 2, 1
+
+
+def _lots(batches: Iterator[pa.RecordBatch], finish) -> Iterator[pa.RecordBatch]:
+    """Over rows of DEALT sorted by lot and kind: what finish makes of each lot's ids of texts, word hashes and other rows."""
+    words, codec, now, ids, texts, others = Words(), pa.Codec("zstd"), None, [], [], []
+    for batch in batches:
+        for lot, kind, i, size, part, data in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+            if lot != now:
+                if ids:
+                    yield finish(now, ids, Lot(texts), others)
+                now, ids, texts, others = lot, [], [], []
+            if kind == TEXT:
+                ids.append(i)
+                texts.append(words(codec.decompress(data, size, asbytes=True) if size else b""))
+            else:
+                others.append((part, size, data, i))
+    if ids:
+        yield finish(now, ids, Lot(texts), others)
+
+
+ASKED = "range int, lot long, hashes binary, data binary"
+
+
+def _asking(ranges: int):
+    def finish(lot: int, ids: list, held: Lot, others: list) -> pa.RecordBatch:
+        target = {x[3] for x in others}
+        counts, cuts = held.counts(np.array([i in target for i in ids], bool)), _cuts(held.keys, ranges)
+        out = [(k, lot, _gaps(held.keys[s:e]), _packed(counts[:, s:e])) for k, (s, e) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if e > s]
+        part, lots, hashes, data = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(lots, pa.int64()), pa.array(hashes, pa.binary()), pa.array(data, pa.binary())], ["range", "lot", "hashes", "data"])
+
+    return lambda batches: _lots(batches, finish)
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows of ASKED sorted by range: for each row the corpus' counts of its hashes, as rows of DEALT."""
+
+    def answer(part: int, rows: list) -> pa.RecordBatch:
+        asked = [_hashes(r[1]) for r in rows]
+        keys, at = np.unique(np.concatenate(asked), return_inverse=True)
+        sums = np.zeros((4, len(keys)), np.int64)
+        places = np.split(at, np.cumsum([len(x) for x in asked])[:-1])
+        for place, r in zip(places, rows, strict=True):
+            sums[:, place] += _unpacked(r[2]).astype(np.int64)  # a row's hashes are distinct
+        packed = [_packed(sums[:, place]) for place in places]
+        n = len(rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([ANSWER] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(packed, pa.binary())],
+            ["lot", "kind", "id", "size", "range", "data"],
+        )
+
+    now, rows = None, []
+    for batch in batches:
+        for part, *row in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+            if part != now:
+                if rows:
+                    yield answer(now, rows)
+                now, rows = part, []
+            rows.append(row)
+    if rows:
+        yield answer(now, rows)
+
+
+def _scoring(lot: int, ids: list, held: Lot, others: list) -> pa.RecordBatch:
+    table = np.concatenate([_unpacked(x[2]).astype(np.int64) for x in sorted(others, key=lambda x: x[0])], axis=1)
+    none = held.lengths == 0
+    a, b = held.losses(table)
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held.lengths), *(pa.array(x, pa.float64(), mask=none) for x in (a, b, a - b))], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+
+def _dealt(docs: DataFrame, id_col: str, text_col: str, lots: int) -> DataFrame:
+    """The texts as rows of DEALT, packed; rows of one id meet in one lot, those without an id by their text."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            n, texts = batch.num_rows, [x.as_py() or b"" for x in batch.column(2)]
+            data = pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())
+            sizes = pa.array([len(t) for t in texts], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([TEXT] * n, pa.int32()), batch.column(1), sizes, pa.nulls(n, pa.int32()), data], ["lot", "kind", "id", "size", "range", "data"])
+
+    text = F.col(text_col).cast("binary").alias("text")
+    key = F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col).cast("long"))).otherwise(F.xxhash64(text_col))
+    return docs.select(F.pmod(key, F.lit(lots)).alias("lot"), F.col(id_col).cast("long").alias("id"), text).mapInArrow(pack, DEALT)
+
+
 def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_tokens, target_loss, background_loss, score), one for each row of docs.
 
@@ -166,25 +230,12 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     Without any target document both models are the background's and every score is 0. Ids in target that docs
     lacks and null ids are ignored; repeated rows count and are scored each; other columns are not read.
     """
-    tables = np.zeros((2, SIZE), np.int64)
-    for row in counts(docs, id_col, text_col, target).toArrow().to_pylist():
-        tables[:, row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = _unpacked(row["width"], row["data"])
-    model = Model(*tables) if tables[0].any() else Model(tables[1], tables[1])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, both = Words(), shared.value
-        for batch in batches:
-            out = []
-            for text in batch.column(1):
-                ids = words(text.as_py() or b"")
-                if len(ids) > 1:
-                    a, b = (float(x.mean(dtype=np.float64)) for x in both.losses(ids))
-                    out.append((len(ids) - 1, a, b, a - b))
-                else:
-                    out.append((0, None, None, None))
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.float64() if i else pa.int64()) for i, c in enumerate(columns))], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    lots, ranges = max(LOTS, -(-size // LOT)), max(RANGES, -(-size // RANGE))
+    texts = _dealt(docs, id_col, text_col, lots)
+    ids = target.select(F.col("id").cast("long").alias("id")).where("id is not null").distinct()
+    ids = ids.selectExpr(f"pmod(xxhash64(id), {lots}L) as lot", f"{IDS} as kind", "id", "cast(null as int) as size", "cast(null as int) as range", "cast(null as binary) as data")
+    asked = texts.unionByName(ids).repartition("lot").sortWithinPartitions("lot", "kind").mapInArrow(_asking(ranges), ASKED)
+    answers = asked.repartition("range").sortWithinPartitions("range").mapInArrow(_answers, DEALT)
+    schema = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+    return texts.unionByName(answers).repartition("lot").sortWithinPartitions("lot", "kind").mapInArrow(lambda b: _lots(b, _scoring), schema)

@@ -118,6 +118,16 @@ def test_lm_scores_against_brute_force(spark):
     assert np.mean([r["score"] for r in got.values() if r["doc_id"] in (1, 3, 5)]) < np.mean([r["score"] for r in got.values() if r["doc_id"] in (0, 2, 4)])
 
 
+def test_lm_tells_all_words_apart(spark):
+    """More distinct words than 2^18: no unseen word or bigram takes the counts of another."""
+    n = 20_000
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(n))) for k in range(35)]
+    got = lm_scoring.score(frame(spark, rows), frame(spark, [(0,)], "id long")).collect()
+    unseen = -np.log(lm_scoring.SMOOTH / (n + lm_scoring.SMOOTH * lm_scoring.VOCABULARY))
+    others = [r["target_loss"] for r in got if r["doc_id"]]
+    assert len(others) == 34 and np.allclose(others, unseen - np.log(1 - lm_scoring.MIX) / n, rtol=1e-9)
+
+
 def test_lm_edges(spark):
     none = frame(spark, [], "id long")
     assert lm_scoring.score(frame(spark, []), none).count() == 0
