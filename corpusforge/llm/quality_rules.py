@@ -34,9 +34,10 @@ CORE = 0.75
 STEPS = 3
 LEAST_ROWS = 60
 #: Chance of a row of a normal group to be rejected.
-ALPHA = 1e-6
-#: Least standard deviation of each statistic: natural texts differ by so much, however even a group is.
-FLOOR = (0.05, 0.05, 0.08, 0.08, 0.06)
+ALPHA = 1e-3
+#: Added standard deviation of each statistic, below what groups have of their own. Most texts have no symbol and no
+#: repeat, so a group's own deviation there is zero; their floors are about the step that one symbol or repeat makes.
+FLOOR = (0.01, 0.03, 0.08, 0.01, 0.01)
 SPACE = b" \t\n\v\f\r"
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 CAPITALS = bytes(range(65, 91))

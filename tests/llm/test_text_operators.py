@@ -74,6 +74,18 @@ def test_outliers_against_brute_force(spark):
     assert np.allclose([by_id[r["doc_id"]] for r in stats], plain, rtol=1e-6)
 
 
+def test_moderate_outliers_of_an_even_group(spark):
+    """A group's own scatter decides: 4 % symbols or long words are rejected where clean texts have none."""
+    rng = random.Random(5)
+    draw = lambda a, b: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(a, b))) for _ in range(80))
+    rows = [(i, draw(3, 8) + ".", "xx", "s") for i in range(300)]
+    symbols = draw(3, 8)
+    rows += [(300, symbols + " " + "$" * (len(symbols.replace(" ", "")) * 4 // 96), "xx", "s"), (301, draw(5, 9) + ".", "xx", "s")]
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.quality(frame(spark, rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not kept[300] and not kept[301]
+    assert sum(kept[i] for i in range(300)) >= 295
+
+
 def test_quality_edges(spark):
     schema = "doc_id long, text string, lang string, source string, gid int, bin int"
     assert quality_rules.quality(frame(spark, [], schema)).count() == 0
