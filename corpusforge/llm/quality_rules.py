@@ -1,7 +1,7 @@
 """Quality rules: multivariate outliers by the minimum covariance determinant, per language and source.
 
 Every text gives a few counts, from them a vector of transformed statistics. For each group (language and source;
-its language where the group has fewer than LEAST_ROWS usable texts, all texts where the language has) the
+its whole language where the group has fewer than LEAST_ROWS usable texts, all texts where the language has) the
 covariance of least determinant over three quarters of the rows is sought by concentration steps from a robust start (medians and quartile
 ranges), reweighted once, and vectors are rejected whose Mahalanobis distance exceeds the chi-square quantile.
 
@@ -196,20 +196,23 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     rows = materialize(rows.withColumn("base_failed", failed), "counts")
     usable = rows.where("not base_failed")
     sizes = usable.groupBy("lang", "source").agg(F.count("*").alias("own"))
-    sizes = sizes.withColumn("of_lang", F.sum(F.when(F.col("own") < LEAST_ROWS, F.col("own"))).over(Window.partitionBy("lang")))
+    sizes = sizes.withColumn("of_lang", F.sum("own").over(Window.partitionBy("lang")))
     named = lambda *c: F.concat_ws("/", *[F.coalesce(F.concat(F.lit("="), x), F.lit("-")) for x in c])
     gid = F.when(F.col("own") >= LEAST_ROWS, named("lang", "source")).when(F.col("of_lang") >= LEAST_ROWS, named("lang")).otherwise(F.lit(""))
-    groups = sizes.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), gid.alias("gid"))
+    groups = materialize(sizes.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), gid.alias("gid")), "groups")
     both = lambda a: a.join(groups, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))).drop("_l", "_s")
     usable = materialize(both(usable), "usable")
-    params = materialize(_start(usable), "estimate")
+    # an estimate of a language or of all is made from all its rows, those of large groups too
+    wanted = usable.withColumn("gid", F.explode(F.array(named("lang", "source"), named("lang"), F.lit("")))).join(groups.select("gid").distinct(), "gid", "left_semi")
+    sample = materialize(wanted.select("gid", *(f"s{i}" for i in range(P))), "sample")
+    params = materialize(_start(sample), "estimate")
     shrunk = CORE / gamma_share((P + 2) / 2, chi2_quantile(CORE, P) / 2)
     for _ in range(STEPS):
-        after = materialize(_concentrate(usable, params).mapInArrow(_estimates(shrunk), PARAMS), "estimate")
+        after = materialize(_concentrate(sample, params).mapInArrow(_estimates(shrunk), PARAMS), "estimate")
         discard(params)
         params = after
     inner = chi2_quantile(0.975, P)
-    once = _measured(usable, params).where(F.col("d2") <= inner).groupBy("gid").agg(*_moments())
+    once = _measured(sample, params).where(F.col("d2") <= inner).groupBy("gid").agg(*_moments())
     wide = 0.975 / gamma_share((P + 2) / 2, inner / 2)
     params = materialize(once.mapInArrow(_estimates(wide), PARAMS), "estimate")
     judged = _measured(usable, params).withColumn("kept", F.col("d2") <= chi2_quantile(1 - ALPHA, P))

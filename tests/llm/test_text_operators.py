@@ -86,6 +86,17 @@ def test_moderate_outliers_of_an_even_group(spark):
     assert sum(kept[i] for i in range(300)) >= 295
 
 
+def test_small_groups_are_judged_by_their_language(spark):
+    """Junk of a source with few texts is measured against the language's texts, or all texts, not against itself."""
+    rng = random.Random(6)
+    draw = lambda end="": " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) + end for _ in range(80)) + "."
+    rows = [(i, draw(), "xx", "large") for i in range(200)]
+    rows += [(200 + i, draw("$$%"), "xx", "small") for i in range(5)] + [(210, draw("$$%"), "yy", "alone"), (211, draw(), "xx", "small"), (212, draw(), "yy", None)]
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.quality(frame(spark, rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(kept[i] for i in (*range(200, 205), 210)) and kept[211] and kept[212]
+    assert sum(kept[i] for i in range(200)) >= 195
+
+
 def test_quality_edges(spark):
     schema = "doc_id long, text string, lang string, source string, gid int, bin int"
     assert quality_rules.quality(frame(spark, [], schema)).count() == 0
