@@ -119,6 +119,8 @@ class Scanner:
         self.pairs = {k: [frozenset(zip(w, w[1:], strict=False)) for w, j in texts if j == k] for k in range(1, len(self.families))}
         vocabulary = sorted({g for w, _ in texts for g in _grams(w)})
         self.index = {g: i for i, g in enumerate(vocabulary)}
+        #: (pairs, most words of a run of lines that may hold them) of each template
+        self.runs = [(frozenset(zip(w, w[1:], strict=False)), len(w) * 5 // 4 + 8) for w, _ in texts]
         # a template is confirmed by CONFIRM of its pairs at least, so one of any larger rest of them must occur
         rest = lambda pairs: int(round((1 - CONFIRM) * len(pairs), 9)) + 1
         self.keys = frozenset(x for each in self.pairs.values() for pairs in each for x in sorted(pairs, key=lambda x: (-len(x[0]) - len(x[1]), x))[: rest(pairs)])
@@ -175,15 +177,75 @@ class Scanner:
         return (k, float(p[k]), like) if like >= CONFIRM else (0, float(p[UNKNOWN]), like)
 
     def scan(self, text: bytes) -> list[tuple[str, int, float, float]]:
-        """(family, paragraph number, probability, confirmation) of each licence paragraph; paragraphs are lines."""
-        found = []
+        """(family, number of the first line, probability, confirmation) of each licence found, in order of lines.
+
+        Each line is judged alone, and so are runs of neighbouring lines, up to one without a word, for wrapped texts.
+        """
+        found: list[tuple[str, int, float, float]] = []
+        block: list[tuple[int, list[bytes], bool]] = []
+        known, last = False, b""
         for number, line in enumerate(text.split(b"\n")):
             w = words(line)
+            if not w:
+                if known and len(block) > 1:
+                    found += self._wrapped(block, found)
+                block, known, last = [], False, b""
+                continue
+            known = known or (last, w[0]) in self.keys
             if not self.keys.isdisjoint(zip(w, w[1:], strict=False)):
+                known = True
                 k, p, like = self.judge(w)
                 if k:
                     found.append((self.families[k], number, p, like))
-        return found
+            cut = line.rstrip().endswith(b"-")  # the next line may go on with the same word
+            known = known or cut
+            block.append((number, w, cut))
+            last = w[-1]
+        if known and len(block) > 1:
+            found += self._wrapped(block, found)
+        return sorted(found, key=lambda x: x[1])
+
+    def _wrapped(self, block: list[tuple[int, list[bytes], bool]], found: list[tuple[str, int, float, float]]) -> list[tuple[str, int, float, float]]:
+        """Licences over several lines of a block that aren't found already in one of their lines."""
+        w: list[bytes] = []
+        lines: list[int] = []
+        glued = False
+        for number, line, cut in block:
+            if glued:
+                w[-1] += b"-" + line[0]
+            w += line[glued:]
+            lines += [number] * (len(line) - glued)
+            glued = cut
+        taken = {(family, number) for family, number, *_ in found}
+        here, out = set(zip(w, w[1:], strict=False)), []
+        for pairs, most in self.runs:
+            if len(pairs & here) < CONFIRM * len(pairs):
+                continue
+            at = [i for i, x in enumerate(zip(w, w[1:], strict=False)) if x in pairs]
+            held: dict[tuple[bytes, bytes], int] = {}
+            left = right = 0
+            while right < len(at):
+                x = w[at[right]], w[at[right] + 1]
+                held[x] = held.get(x, 0) + 1
+                right += 1
+                while at[right - 1] - at[left] + 2 > most:
+                    y = w[at[left]], w[at[left] + 1]
+                    held[y] -= 1
+                    if not held[y]:
+                        del held[y]
+                    left += 1
+                if len(held) < CONFIRM * len(pairs):
+                    continue
+                while right < len(at) and at[right] - at[left] + 2 <= most:
+                    right += 1
+                start, end = at[left], at[right - 1] + 2
+                held, left = {}, right
+                k, p, like = self.judge(w[start:end])
+                over = range(lines[start], lines[end - 1] + 1)
+                if k and len(over) > 1 and not any((self.families[k], n) in taken for n in over):
+                    out.append((self.families[k], lines[start], p, like))
+                    taken |= {(self.families[k], n) for n in over}
+        return out
 
 
 @cache
@@ -194,8 +256,8 @@ def scanner() -> Scanner:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, family, paragraphs, probability, confirmation), one for each document row and family found.
 
-    paragraphs lists the numbers of the lines found (from 0); probability and confirmation are the largest of them.
-    Every line of every text is judged. Null and empty texts, and texts without a licence, give no row; a null id is
+    paragraphs lists the numbers of the lines found (from 0), of a text wrapped over several lines the first; probability and confirmation are the largest of them.
+    Every line of every text is judged, and runs of lines up to one without a word. Null and empty texts, and texts without a licence, give no row; a null id is
     passed on; repeated rows are reported each. Ties between families go to the first in the list. Other columns are
     not read.
     """

@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -327,6 +328,19 @@ def test_every_template_is_found():
             assert [x[0] for x in scanner.scan(f"words before\n{t}\nwords after".encode())] == [family], t
 
 
+def test_wrapped_templates_are_found():
+    """Templates wrapped at 70 columns, plain or in comments, among other lines."""
+    scanner = licenses.scanner()
+    for family, templates in licenses.TEMPLATES.items():
+        for t in templates:
+            wrapped = textwrap.wrap(t, 70)
+            for mark in ("", "# ", " * "):
+                lines = ["Copyright 2020 somebody", *wrapped, "import that", "", "x = 1"]
+                found = scanner.scan("\n".join(mark + x for x in lines).encode())
+                assert [x[:2] for x in found if x[0] == family][:1] == [(family, 1)] and {x[0] for x in found} == {family}, (t, found)
+    assert scanner.scan(("\n".join(licenses.PLAIN)).encode()) == []
+
+
 def test_plain_text_is_no_licence():
     scanner, rng = licenses.scanner(), random.Random(8)
     for t in licenses.PLAIN:
