@@ -41,6 +41,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td blockquote div section article li dd main body".split())
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+))?""")
+#: What a tag is read on by: its end, or an attribute's opening quote.
+TAG_STEP = re.compile(r""">|=\s*(["'])""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 LEAST_LENGTH = 25
@@ -56,16 +58,15 @@ class Node:
 
 
 def tag_end(page: str, at: int) -> int:
-    """Position of the > that ends the tag starting at at; quoted ones don't count. -1 if there is none."""
-    end = page.find(">", at)
-    while end >= 0:
-        tag = page[at:end]
-        if '"' not in tag and "'" not in tag:
-            return end
-        rest = re.sub(r"""=\s*("[^"]*"|'[^']*')""", "", tag)
-        if not re.search(r"""=\s*["']""", rest) or end - at > 10_000:
-            return end
-        end = page.find(">", end + 1)
+    """Position of the > that ends the tag starting at at; quoted ones don't count, unless a quote never closes. -1 if there is none."""
+    here = at
+    while step := TAG_STEP.search(page, here):
+        if step[0] == ">":
+            return step.start()
+        closed = page.find(step[1], step.end())
+        if closed < 0:
+            return page.find(">", at)
+        here = closed + 1
     return page.find(">", at)
 
 

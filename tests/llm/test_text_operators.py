@@ -307,6 +307,15 @@ def test_pages(page):
     assert html_text.main_text(page) == EXPECTED
 
 
+@pytest.mark.parametrize("n", [10, 9_000, 11_000, 300_000])
+def test_long_quoted_attributes(n):
+    """Markup in a quoted attribute is no text, whatever its length."""
+    value = "<p>leak, leak, and leak</p> " * (n // 28 + 1)
+    for quote in "\"'":
+        assert html_text.main_text(f"<article><div data-x={quote}{value}{quote}>{ARTICLE}</div></article>") == EXPECTED
+    assert html_text.main_text("<article><p title='open>" + "word, word and word, to be long enough. " * 400 + "</p></article>").startswith("word, word")
+
+
 def test_page_edges(spark):
     assert [html_text.main_text(x) for x in (None, "", "<p>", "<nav>x</nav>", "plain text", "a < b", "<p>&#233;&lt;&nope;</p>", "<p unclosed")] == ["", "", "", "", "plain text", "a < b", "é<&nope;", ""]
     many = "<article>" + "<p>word, word and word again, to be long.</p>" * 5000 + "</article>"
