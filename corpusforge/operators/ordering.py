@@ -177,19 +177,28 @@ def equal_parts(n: Column, parts: Column | int, which: Column) -> tuple[Column,
 
 
 def greedy_cover(rows: DataFrame, key: str, categories: str, most: int) -> pd.DataFrame:
-    """Examples that show the most categories not yet shown, then the rest in order; for a short, bounded list."""
-    held = rows.select(key, categories).orderBy(key).limit(10_000).toPandas()
+    """Examples that show the most categories not yet shown, then the rest in order; for a short list.
+
+    All rows count: the driver gets the least row of each distinct set of categories, and the first most rows.
+    """
+    least = rows.where(F.col(categories).isNotNull()).groupBy(F.array_sort(F.array_distinct(categories)).alias("_set")).agg(F.min(F.struct(key, categories)).alias("_row"))
+    left = list(least.select("_row.*").orderBy(key).toPandas().itertuples(index=False))
     seen: set = set()
     picked: list = []
-    left = list(held.itertuples(index=False))
     while left and len(picked) < most:
-        best = max(left, key=lambda r: len(set(r[1]) - seen))
-        if not set(best[1]) - seen:
+        at = max(range(len(left)), key=lambda k: len(set(left[k][1]) - seen))
+        if not set(left[at][1]) - seen:
             break
-        seen |= set(best[1])
-        picked.append(best)
-        left.remove(best)
-    picked += left[: most - len(picked)]
+        seen |= set(left[at][1])
+        picked.append(left.pop(at))
+    same = lambda r: (r[0], None if r[1] is None else tuple(r[1]))
+    shown, rest = [same(r) for r in picked], []
+    for r in rows.select(key, categories).orderBy(key, categories).limit(most).toPandas().itertuples(index=False):
+        if same(r) in shown:
+            shown.remove(same(r))
+        else:
+            rest.append(r)
+    picked += rest[: most - len(picked)]
     return pd.DataFrame(picked, columns=[key, categories])
 
 

@@ -38,6 +38,12 @@ def test_packs(spark):
     assert sorted((r["who"], r["pack"], r["clips"], r["text"]) for r in got) == [("s", 0, [0, 1], "t0 t1"), ("s", 1, [2, 3], "t2 t3")]
 
 
+def test_greedy_cover_sees_late_rows(spark):
+    """A category that occurs only after many others is shown too."""
+    rows = spark.range(12_001).selectExpr("id as k", "if(id = 12000, array('z'), array('a')) as c")
+    assert ordering.greedy_cover(rows, "k", "c", 3)["k"].tolist() == [0, 12000, 1]
+
+
 def test_orders_and_empty_tables(spark):
     empty = frame(spark, [], "g string, k int, v double")
     assert ordering.budget_cut(empty, "v", ["g"], ["k"], 3).count() == ordering.runs(empty, ["g"], ["k"], "v", "k").count() == reports.upper_median(empty, ["g"], "v").count() == 0
