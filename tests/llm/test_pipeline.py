@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from test_dedup import brute_components, brute_lines
+from test_dedup import brute_lines
 from test_mixing_urls import brute_mix
 from test_text_operators import brute_leaks
+from test_wide import jaccard_groups
 
 from corpusforge.llm import quality_cnn
 from corpusforge.session import table
@@ -18,7 +19,7 @@ def test_pipeline_against_brute_force(spark, tables):
     rows = [r for r, s in zip(rows, scores, strict=True) if s >= 0.5]
     cleaned = dict(brute_lines([r[:2] for r in rows]))
     rows = [(i, cleaned[i], s) for i, t, s in rows if cleaned[i] == t or cleaned[i].strip(" \t\n\v\f\r")]
-    stay = {c for _, _, c in brute_components([r[:2] for r in rows])}
+    stay = set(jaccard_groups([r[:2] for r in rows]))
     rows = [r for r in rows if r[0] in stay]
     items = [(r["item_id"], r["text"]) for r in table(spark, tables, "benchmark").collect()]
     leaks = {i for i, _ in brute_leaks([r[:2] for r in rows], items)}
