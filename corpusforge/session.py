@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _WRITTEN: list[str] = []
+_HERE = threading.local()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +51,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _WRITTEN.append(path)
+    if getattr(_HERE, "scratch", None) is not None:
+        _HERE.scratch.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written = path
     return out
@@ -57,15 +63,30 @@ def discard(df: DataFrame) -> None:
     path = getattr(df, "_written", None)
     if path in _WRITTEN:
         _WRITTEN.remove(path)
-        _delete(df.sparkSession, path)
+        delete(df.sparkSession, path)
 
 
 def discard_all(spark: SparkSession) -> None:
     """Delete every intermediate table of this process; for applications, once their results are written."""
     while _WRITTEN:
-        _delete(spark, _WRITTEN.pop())
+        delete(spark, _WRITTEN.pop())
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that this thread writes inside are deleted at the end; results must be written by then."""
+    outer, _HERE.scratch = getattr(_HERE, "scratch", None), []
+    try:
+        yield
+    finally:
+        mine, _HERE.scratch = _HERE.scratch, outer
+        for path in mine:
+            if path in _WRITTEN:
+                _WRITTEN.remove(path)
+                delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table's folder, wherever it is."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
