@@ -236,11 +236,11 @@ def brute_leaks(docs, items):
     found = set()
     for (i, t), (j, b) in itertools.product(docs, items):
         d, q = cut(t), cut(b)
-        if len(q) < decontamination.LEAST_TOKENS:
+        if not q:
             continue
         stretch = min(decontamination.OVERLAP, len(q))
         known = set(d)
-        need = stretch if len(q) < decontamination.OVERLAP else -(-decontamination.AGREE_PERCENT * stretch // 100)
+        need = -(-decontamination.AGREE_PERCENT * stretch // 100)
         if sum(w in known for w in q) < need:
             continue
         for d0 in range(-len(q), len(d)):
@@ -250,12 +250,19 @@ def brute_leaks(docs, items):
     return found
 
 
-@pytest.mark.parametrize("most", [400_000, 0])
+def test_masks_of_short_items_miss_nothing():
+    """Whatever n // 5 tokens of an item of n are substituted, one of its masks looks at none of them."""
+    for n in range(1, decontamination.OVERLAP):
+        for gone in itertools.combinations(range(n), n // 5):
+            assert any(not set(m) & set(gone) for m in decontamination.masks_for(n)), (n, gone)
+
+
+@pytest.mark.parametrize("most", [32 << 20, 0])
 def test_leaks_against_brute_force(spark, most):
     rng = random.Random(6)
     words = [f"w{k}" for k in range(60)]
     draw = lambda n: [rng.choice(words) for _ in range(n)]
-    items = [(k, draw(n)) for k, n in enumerate((30, 13, 12, 8, 5, 4, 25, 20))]
+    items = [(k, draw(n)) for k, n in enumerate((30, 13, 12, 8, 5, 4, 25, 20, 10, 9, 1, 2))]
     docs = []
     for i in range(60):
         _, q = rng.choice(items)
@@ -272,6 +279,25 @@ def test_leaks_against_brute_force(spark, most):
     assert all(r["matched"] * 100 >= r["overlap"] * 60 for r in got)
 
 
+@pytest.mark.parametrize("most", [32 << 20, 0])
+def test_long_items_and_common_seeds(spark, most):
+    """An item of thousands of tokens, and a passage that many items and many documents share."""
+    rng = random.Random(12)
+    draw = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
+    common, long = draw(8), draw(2500)
+    items = [(k, " ".join(common + draw(20))) for k in range(40)] + [(100, " ".join(long))]
+    docs = [(i, " ".join(draw(10) + common + draw(10))) for i in range(40)] + [(100, " ".join(draw(5) + long)), (101, " ".join(long[1000:1013])), (102, items[3][1])]
+    got = decontamination.contaminated(frame(spark, docs), frame(spark, items, "item_id long, text string"), max_broadcast=most).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["overlap"], r["matched"]) for r in got} == {(100, 100): (2500, 2500), (101, 100): (17, 13), (102, 3): (28, 28)}
+
+
+def test_short_items_remove_nothing_by_themselves(spark):
+    docs = frame(spark, [(1, "the end"), (2, "a b c d e f")])
+    items = frame(spark, [(1, "the"), (2, "a b c x e")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_tokens"]) for r in decontamination.contaminated(docs, items).collect()) == [(1, 1), (2, 5)]
+    assert [r[0] for r in decontamination.decontaminate(docs, items).collect()] == [1]
+
+
 def texts_of(items, k):
     return " ".join(items[k][1])
 
