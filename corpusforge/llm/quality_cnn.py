@@ -2,8 +2,8 @@
 
 A text's UTF-8 bytes are cut into overlapping chunks that cover all of it. Learned filters run over a chunk's
 embedded bytes, each filter's largest answer goes on to a small layer, and mean and maximum over all chunks make
-one probability. It is trained on the driver from at most MAX_GOOD and MAX_POOR labelled rows, of which at most
-TRAIN_CHUNKS chunks each, spread evenly over the text; scoring reads every chunk.
+one probability. It is trained on the driver from at most MAX_GOOD and MAX_POOR labelled rows; training, like scoring,
+reads every chunk of a text, LOT chunks at a time.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from pyspark.sql.functions import arrow_udf
 
 CHUNK, STEP = 256, 192
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 6, 8, 2, 24, 16
-MAX_GOOD, MAX_POOR, TRAIN_CHUNKS = 2500, 1500, 10
+MAX_GOOD, MAX_POOR = 2500, 1500
 EPOCHS, BATCH, RATE, SEED = 8, 32, 4e-3, 7
 PLACES = (CHUNK - WIDTH) // STRIDE + 1
 WINDOW = np.arange(PLACES)[:, None] * STRIDE + np.arange(WIDTH)[None, :]
-#: Chunks that are scored at once; bounds a worker's memory whatever the length of a text.
+#: Chunks that are scored or learnt from at once; bounds the memory whatever the length of a text.
 LOT = 512
 
 
@@ -93,51 +93,70 @@ class ByteCNN:
         logit = np.concatenate([mean, np.array(tops)], axis=1) @ self.p["out"].astype(np.float64) + float(self.p["out_b"][0])
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
-    def gradients(self, chunks: np.ndarray, owner: np.ndarray, n: int, y: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean log loss of n texts; owner gives the text of each chunk, in order."""
+    def _forward(self, chunks: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What a lot of chunks gives on the way to the hidden layer: embedded windows, best places, both sums."""
         p = self.p
         cols = p["embed"][chunks][:, WINDOW].reshape(len(chunks), PLACES, WIDTH * EMBED)
-        z = cols.reshape(-1, WIDTH * EMBED) @ p["conv"]
-        z = z.reshape(len(chunks), PLACES, FILTERS)
+        z = (cols.reshape(-1, WIDTH * EMBED) @ p["conv"]).reshape(len(chunks), PLACES, FILTERS)
         best = z.argmax(axis=1)
         pre = np.take_along_axis(z, best[:, None], 1)[:, 0] + p["conv_b"]
-        pooled = np.maximum(pre, 0)
-        mid = pooled @ p["mid"] + p["mid_b"]
-        h = np.maximum(mid, 0)
-        counts = np.bincount(owner, minlength=n).astype(np.float32)
-        mean, top, arg = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.int64)
-        starts = np.concatenate(([0], np.cumsum(counts.astype(np.int64))[:-1]))
-        for i, (s, c) in enumerate(zip(starts, counts.astype(np.int64), strict=True)):
-            part = h[s : s + c]
-            mean[i], arg[i] = part.mean(axis=0), part.argmax(axis=0) + s
-            top[i] = h[arg[i], np.arange(HIDDEN)]
-        feats = np.concatenate([mean, top], axis=1)
-        prob = 1 / (1 + np.exp(-np.clip(feats @ p["out"] + p["out_b"][0], -30, 30)))
-        d = ((prob - y) / n).astype(np.float32)
-        g = {"out": feats.T @ d, "out_b": d.sum(keepdims=True)}
-        dh = (d[:, None] * p["out"][None, :HIDDEN] / counts[:, None])[owner]
-        np.add.at(dh, (arg, np.arange(HIDDEN)[None, :]), d[:, None] * p["out"][None, HIDDEN:])
+        mid = np.maximum(pre, 0) @ p["mid"] + p["mid_b"]
+        return cols[np.arange(len(chunks))[:, None], best], best, pre, mid
+
+    def _backward(self, chunks: np.ndarray, passed: tuple[np.ndarray, ...], dh: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradients of a lot of chunks from those of its hidden layer."""
+        p, (seen, best, pre, mid) = self.p, passed
         dmid = dh * (mid > 0)
-        g |= {"mid": pooled.T @ dmid, "mid_b": dmid.sum(axis=0)}
         dpre = (dmid @ p["mid"].T) * (pre > 0)
-        g["conv_b"] = dpre.sum(axis=0)
-        seen = cols[np.arange(len(chunks))[:, None], best]
-        g["conv"] = np.einsum("cfk,cf->kf", seen, dpre, optimize=True)
         back = (dpre[:, :, None] * p["conv"].T[None]).reshape(-1, EMBED)
         at = chunks[np.arange(len(chunks))[:, None, None], WINDOW[best]].ravel()
-        g["embed"] = np.stack([np.bincount(at, back[:, k], minlength=256) for k in range(EMBED)], axis=1).astype(np.float32)
+        embed = np.stack([np.bincount(at, back[:, k], minlength=256) for k in range(EMBED)], axis=1)
+        return {"mid": np.maximum(pre, 0).T @ dmid, "mid_b": dmid.sum(axis=0), "conv_b": dpre.sum(axis=0), "conv": np.einsum("cfk,cf->kf", seen, dpre, optimize=True), "embed": embed}
+
+    def gradients(self, texts: list[bytes], y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log loss of some texts, over all their chunks. Where they are more than a lot, lots are passed twice."""
+        n, counts = len(texts), np.array([n_chunks(len(t)) for t in texts])
+        ends = np.cumsum(counts)
+        owner = np.repeat(np.arange(n), counts)
+        place = np.arange(ends[-1]) - (ends - counts)[owner]
+        lots = [slice(at, at + LOT) for at in range(0, len(owner), LOT)]
+
+        def cut(lot: slice) -> np.ndarray:
+            who, where = owner[lot], place[lot]
+            return np.concatenate([chunk(texts[i], where[who == i]) for i in np.unique(who)])
+
+        kept = None
+        hidden = np.empty((len(owner), HIDDEN), self.p["mid"].dtype)
+        for lot in lots:
+            chunks = cut(lot)
+            passed = self._forward(chunks)
+            hidden[lot] = np.maximum(passed[3], 0)
+            kept = (chunks, passed)
+        p, top, arg = self.p, np.empty((n, HIDDEN), hidden.dtype), np.empty((n, HIDDEN), np.int64)
+        for i, (e, c) in enumerate(zip(ends, counts, strict=True)):
+            arg[i] = hidden[e - c : e].argmax(axis=0) + e - c
+            top[i] = hidden[arg[i], np.arange(HIDDEN)]
+        feats = np.concatenate([np.add.reduceat(hidden, ends - counts) / counts[:, None], top], axis=1).astype(hidden.dtype)
+        prob = 1 / (1 + np.exp(-np.clip(feats @ p["out"] + p["out_b"][0], -30, 30)))
+        d = ((prob - y) / n).astype(hidden.dtype)
+        dh = (d[:, None] * p["out"][None, :HIDDEN] / counts[:, None])[owner].astype(hidden.dtype)
+        np.add.at(dh, (arg, np.arange(HIDDEN)[None, :]), d[:, None] * p["out"][None, HIDDEN:])
+        g = {"out": feats.T @ d, "out_b": d.sum(keepdims=True)}
+        for lot in lots:
+            chunks, passed = kept if len(lots) == 1 else ((c := cut(lot)), self._forward(c))
+            for k, x in self._backward(chunks, passed, dh[lot]).items():
+                g[k] = g[k] + x if k in g else x
         return g
 
-    def fit(self, samples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> ByteCNN:
-        """Adam over small batches of (chunks, label), in an order that the seed fixes."""
+    def fit(self, samples: list[tuple[bytes, int]], epochs: int = EPOCHS) -> ByteCNN:
+        """Adam over small batches of (text, label), in an order that the seed fixes."""
         rng, m, v, t = np.random.default_rng(SEED), {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}, 0
         steps = epochs * -(-len(samples) // BATCH)
         for _ in range(epochs):
             order = rng.permutation(len(samples))
             for at in range(0, len(order), BATCH):
                 part = [samples[i] for i in order[at : at + BATCH]]
-                owner = np.repeat(np.arange(len(part)), [len(c) for c, _ in part])
-                g = self.gradients(np.concatenate([c for c, _ in part]), owner, len(part), np.array([y for _, y in part], np.float32))
+                g = self.gradients([x for x, _ in part], np.array([y for _, y in part], np.float32))
                 t += 1
                 rate = RATE * (1 - 0.95 * t / steps)
                 for k, x in g.items():
@@ -163,22 +182,17 @@ def held_out(id_col: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> ByteCNN | Constant:
-    """A model from the labelled rows that are not held out: the MAX_GOOD and MAX_POOR with the least hashed ids."""
-    usable = labels.where(~held_out(id_col)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).dropDuplicates(["_id"])
+    """A model from the labelled rows that are not held out: the MAX_GOOD and MAX_POOR with the least hashed ids.
+
+    An id whose labels disagree counts for nothing; of an id's texts the one with the least hash counts.
+    """
+    y = F.col(label_col).cast("int")
+    usable = labels.where(~held_out(id_col) & y.isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.min(y).alias("_y"), F.max(y).alias("_most")).where("_y = _most")
     order = F.xxhash64("_id")
-    picked = usable.where("_y = 1").orderBy(order, "_id").limit(MAX_GOOD).unionByName(usable.where("_y = 0").orderBy(order, "_id").limit(MAX_POOR))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = [x.as_py() or b"" for x in batch.column(2)]
-            which = [np.unique(np.linspace(0, n_chunks(len(x)) - 1, TRAIN_CHUNKS).round().astype(int)) for x in data]
-            out = [chunk(x, w).tobytes() for x, w in zip(data, which, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "y", "chunks"])
-
-    joined = docs.select(F.col(id_col).alias("_d"), F.col(text_col).cast("binary").alias("_t")).join(F.broadcast(picked), F.col("_d") == F.col("_id"))
-    rows = joined.select(F.col("_id").cast("string"), "_y", "_t").mapInArrow(cut, "id string, y int, chunks binary").dropDuplicates(["id"]).collect()
-    rows.sort(key=lambda r: r[0])
-    samples = [(np.frombuffer(r[2], np.uint8).reshape(-1, CHUNK), r[1]) for r in rows]
+    picked = usable.where("_y = 1").orderBy(order, "_id").limit(MAX_GOOD).unionByName(usable.where("_y = 0").orderBy(order, "_id").limit(MAX_POOR)).select("_id", "_y")
+    joined = docs.select(F.col(id_col).alias("_d"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_t")).join(F.broadcast(picked), F.col("_d") == F.col("_id"))
+    rows = joined.groupBy(F.col("_id").cast("string").alias("_id"), "_y").agg(F.min_by("_t", F.struct(F.xxhash64("_t"), "_t")).alias("_t")).collect()
+    samples = [(bytes(r[2]), r[1]) for r in sorted(rows, key=lambda r: r[0])]
     good = sum(y for _, y in samples)
     if not 0 < good < len(samples):
         return Constant(good, len(samples) - good)
@@ -199,9 +213,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """docs with its columns and held_out, score (0 to 1) and predicted (1 from 0.5 on), one row for each row.
 
     Empty and null texts get the score of a chunk of zeros. Without labels of both classes every score is the
-    smoothed share of label 1. Null ids are not held out and never learnt from; labels of null ids or null quality
-    are ignored, of repeated ids one label and one text count. Columns of docs are passed on,
-    those of the three names replaced.
+    smoothed share of label 1. Null ids are not held out and never learnt from; labels of null ids, null quality
+    or ids with both labels are ignored, of an id's texts the one with the least hash is learnt from. Columns of docs
+    are passed on, those of the three names replaced.
     """
     model = train(docs, labels, id_col, text_col)
     scored = docs.withColumns({"held_out": held_out(id_col), "score": score_column(model, text_col)})

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusforge.llm import decontamination, html_text, licenses, lm_scoring, quality_cnn, quality_rules
 from corpusforge.session import table
@@ -177,20 +178,44 @@ def test_chunks_cover_every_byte():
         assert len(seen) == size
 
 
-def test_network_gradients():
+def plain_score(model, data):
+    """The network written out for one text: every chunk, every window, every filter, one after the other."""
+    p = {k: v.astype(float) for k, v in model.p.items()}
+    hidden, at = [], 0
+    while not hidden or at - quality_cnn.STEP + quality_cnn.CHUNK < len(data):
+        piece = data[at : at + quality_cnn.CHUNK].ljust(quality_cnn.CHUNK, b"\0")
+        answers = []
+        for start in range(0, quality_cnn.CHUNK - quality_cnn.WIDTH + 1, quality_cnn.STRIDE):
+            window = np.concatenate([p["embed"][b] for b in piece[start : start + quality_cnn.WIDTH]])
+            answers.append([float(window @ p["conv"][:, f]) for f in range(quality_cnn.FILTERS)])
+        pooled = [max(0.0, max(a[f] for a in answers) + p["conv_b"][f]) for f in range(quality_cnn.FILTERS)]
+        hidden.append([max(0.0, sum(x * p["mid"][f, h] for f, x in enumerate(pooled)) + p["mid_b"][h]) for h in range(quality_cnn.HIDDEN)])
+        at += quality_cnn.STEP
+    feats = [sum(h[k] for h in hidden) / len(hidden) for k in range(quality_cnn.HIDDEN)] + [max(h[k] for h in hidden) for k in range(quality_cnn.HIDDEN)]
+    return 1 / (1 + np.exp(-(sum(a * b for a, b in zip(feats, p["out"], strict=True)) + p["out_b"][0])))
+
+
+def test_network_against_brute_force():
+    model, rng = quality_cnn.ByteCNN(5), np.random.default_rng(2)
+    texts = [b"", b"a", *(rng.integers(1, 256, n).astype(np.uint8).tobytes() for n in (255, 256, 257, 448, 449, 1500))]
+    assert np.allclose(model.scores(texts), [plain_score(model, t) for t in texts], rtol=1e-4)
+
+
+def test_network_gradients(monkeypatch):
+    """Against differences of the loss, also where the chunks of a batch are many lots."""
     model = quality_cnn.ByteCNN(3)
     rng = np.random.default_rng(0)
-    chunks, owner, y = rng.integers(0, 256, (5, quality_cnn.CHUNK)).astype(np.uint8), np.array([0, 0, 1, 2, 2]), np.array([1, 0, 1], np.float32)
+    texts, y = [rng.integers(0, 256, n).astype(np.uint8).tobytes() for n in (400, 90, 900)], np.array([1, 0, 1], np.float32)
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
 
     def loss():
-        h = model.hidden(model.pooled(chunks))
-        feats = np.stack([np.concatenate([h[owner == i].mean(axis=0), h[owner == i].max(axis=0)]) for i in range(3)])
-        z = feats @ model.p["out"] + model.p["out_b"][0]
-        return float(np.mean(np.log1p(np.exp(-z)) * y + np.log1p(np.exp(z)) * (1 - y)))
+        s = np.array([plain_score(model, t) for t in texts])
+        return float(np.mean(-np.log(np.where(y == 1, s, 1 - s))))
 
-    g = model.gradients(chunks, owner, 3, y)
-    for k in model.p:
+    g = model.gradients(texts, y)
+    monkeypatch.setattr(quality_cnn, "LOT", 2)
+    for k, x in model.gradients(texts, y).items():
+        assert np.allclose(x, g[k])
         at = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape)
         old, step = model.p[k][at], 1e-5
         model.p[k][at] = old + step
@@ -201,6 +226,24 @@ def test_network_gradients():
         assert abs((up - down) / (2 * step) - g[k][at]) < 1e-3 * max(1, abs(g[k][at]))
 
 
+def test_network_learns_from_every_chunk():
+    """What tells the classes apart stands beyond the tenth chunk, between plain ones."""
+    rng = np.random.default_rng(4)
+    plain = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    texts = [(plain(2600) + (b"#" * 40 if y else b"") + plain(2600), y) for y in (0, 1) * 60]
+    model = quality_cnn.ByteCNN().fit(texts, epochs=20)
+    assert np.mean([(s > 0.5) == y for s, (_, y) in zip(model.scores(t for t, _ in texts), texts, strict=True)]) > 0.95
+
+
+def test_network_repeated_ids(spark):
+    """Ids with both labels are not learnt from, of an id's texts always the same one is."""
+    docs = frame(spark, [(1, "good one"), (1, "good other"), (7, "bad one"), (8, "neither"), (9, "good two")])
+    labels = [(1, 1), (1, 1), (7, 0), (8, 0), (8, 1), (9, None)]  # none of these ids is held out
+    got = [quality_cnn.train(docs.orderBy(F.rand(k)), frame(spark, labels[::step], "doc_id long, quality int")) for k, step in ((1, 1), (2, -1))]
+    assert all((got[0].p[k] == got[1].p[k]).all() for k in got[0].p)
+    assert isinstance(quality_cnn.train(docs, frame(spark, [(8, 0), (8, 1)], "doc_id long, quality int")), quality_cnn.Constant)
+
+
 def test_network_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
