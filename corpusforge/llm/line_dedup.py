@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 WINDOW = 3
 
 
-def _hashes(expr: str) -> str:
-    """Two 64-bit hashes of three neighbouring entries of the array h, from line i on; no entry is null, as hashes skip nulls."""
-    return f"struct(xxhash64(h[{expr}], h[{expr} + 1], h[{expr} + 2]) as w1, xxhash64(7, h[{expr} + 2], h[{expr}], h[{expr} + 1]) as w2)"
+def _hashes(at: str) -> str:
+    """Two independent 64-bit hashes of three neighbouring entries of the array h; no entry is null, as hashes skip nulls.
+
+    The second starts from another value, so it isn't a function of the first.
+    """
+    return f"struct(xxhash64(h[{at}].a, h[{at} + 1].a, h[{at} + 2].a) as w1, xxhash64(7, h[{at}].b, h[{at} + 1].b, h[{at} + 2].b) as w2)"
 
 
 def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -23,7 +26,7 @@ def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("doc_hash"), F.split(text_col, "\n").alias("l"))
     slim = slim.where(f"size(l) >= {WINDOW}")
     hashed = slim.select(
-        "doc_id", "doc_hash", F.expr(r"transform(l, x -> struct(xxhash64(x) as a, xxhash64(x, 7) as b, x rlike '[^\\x20\\x09-\\x0D]' as word))").alias("h")
+        "doc_id", "doc_hash", F.expr(r"transform(l, x -> struct(xxhash64(x) as a, xxhash64(7, x) as b, x rlike '[^\\x20\\x09-\\x0D]' as word))").alias("h")
     )
     at = hashed.select("doc_id", "doc_hash", "h", F.expr(f"explode(sequence(0, size(h) - {WINDOW}))").alias("at"))
     at = at.where("h[at].word or h[at + 1].word or h[at + 2].word")
@@ -52,7 +55,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = covered_lines(docs, id_col, text_col).select(F.struct("doc_id", "doc_hash").alias("__ld_found"), F.col("covered").alias("__ld_covered"))
     marked = docs.withColumns({"__ld_key": key, "__ld_lines": F.split(text_col, "\n")})
     joined = marked.join(found, F.col("__ld_key").eqNullSafe(F.col("__ld_found")), "left")
-    kept = F.array_join(F.expr("filter(__ld_lines, (x, i) -> not array_contains(__ld_covered, i))"), "\n")
+    # by hashing, so the time grows with the lines, not with lines times covered ones
+    kept = F.array_join(F.expr("transform(array_except(sequence(0, size(__ld_lines) - 1), __ld_covered), i -> __ld_lines[i])"), "\n")
     text = F.when(F.col("__ld_covered").isNull(), F.col(text_col)).otherwise(kept).alias(text_col)
     count = lambda name: F.coalesce(F.when(F.col(name).isNotNull(), F.size(name)), F.lit(0)).cast("long")
     more = {"n_lines": count("__ld_lines"), "n_removed": count("__ld_covered")} if details else {}

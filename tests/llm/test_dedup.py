@@ -49,6 +49,27 @@ def test_blank_lines_keep_their_places(spark):
     assert (1, "p\n\nlast\n\n") in got and (8, "x\n\n\nonce\n\n\ny") in got
 
 
+def test_long_texts_in_linear_time(spark):
+    """Two equal texts of many lines: twice the lines take about twice the time, not four times."""
+    import time
+
+    seconds = []
+    for n in (2_000, 100_000, 200_000):  # the first warms up
+        text = "\n".join(f"line {k}" for k in range(n))
+        start = time.perf_counter()
+        got = {r[0]: r[1] for r in line_dedup.dedup_lines(frame(spark, [(1, text), (2, text + "\nmore")])).select("doc_id", "text").collect()}
+        seconds.append(time.perf_counter() - start)
+        assert got == {1: text, 2: "more"}
+    assert seconds[2] < 3 * seconds[1] + 2
+
+
+def test_hashes_are_independent(spark):
+    """Neither hash of a line is a function of the other: the second isn't the first one hashed on."""
+    w = line_dedup.line_windows(frame(spark, [(1, "a\nb\nc")])).first()
+    chained = spark.sql("select xxhash64(7, xxhash64('a', 7), xxhash64('b', 7), xxhash64('c', 7)) as x, xxhash64(xxhash64('a'), xxhash64('b'), xxhash64('c'), 7) as y").first()
+    assert w["w2"] not in tuple(chained) and w["w1"] != w["w2"]
+
+
 def test_line_dedup_columns_and_empty(spark):
     rows = [(1, "a\nb\nc", 1, 2, 3), (2, "a\nb\nc\nd", 4, 5, 6)]
     clash = frame(spark, rows, "doc_id long, text string, starts int, covered int, at int")
