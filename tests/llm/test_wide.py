@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusforge.llm import components, simhash, wide_simhash
 from corpusforge.session import table
@@ -74,7 +75,7 @@ def test_large_group(spark, monkeypatch, block):
     """A group of hundreds of near copies, its anchors compared at once or in pairs of blocks."""
     monkeypatch.setattr(wide_simhash, "BLOCK", block)
     rows = copies([500, 40], 3, seed=8)
-    prints = wide_simhash.with_fingerprints(frame(spark, rows))
+    prints = wide_simhash.with_fingerprints(frame(spark, rows)).withColumn("root", F.col("node"))
     roots = {r[0]: r[1] for r in components.connected_components(wide_simhash.links(prints, block=block)).collect()}
     by_node = {r["doc_id"]: roots.get(r["node"], r["node"]) for r in prints.collect()}
     assert len({by_node[i] for i, _ in rows if i < 10_000}) == 1 == len({by_node[i] for i, _ in rows if i >= 10_000})
