@@ -68,11 +68,11 @@ def test_outliers_against_brute_force(spark):
     rows += [(200, None, None, None), (201, "", "xx", "s"), (None, "few words", "xx", "t"), (203, rows[0][1], "xx", "s"), (203, rows[0][1], "xx", "s"), (204, rows[1][1], None, None)]
     df = frame(spark, rows, "doc_id long, text string, lang string, source string")
     got = quality_rules.quality(df).collect()
-    assert len(got) == len(rows)
+    assert len(got) == len(rows) and quality_rules.quality(df).columns[:8] == "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
     assert all(not r["kept"] for r in got if r["doc_id"] in (*range(150, 165), 200, 201, None)) and all(r["kept"] for r in got if r["doc_id"] in range(150))
     stats = [r for r in quality_rules.statistics(df).collect() if r["source"] == "s" and r["n_words"] >= 50]
     plain = brute_outliers(np.array([[r[f"s{i}"] / quality_rules.GRID for i in range(quality_rules.P)] for r in stats]))
-    by_id = {r["doc_id"]: r["distance"] for r in got}
+    by_id = {r["doc_id"]: r["distance"] for r in quality_rules.quality(df, shrink=0).collect()}
     assert np.allclose([by_id[r["doc_id"]] for r in stats], plain, rtol=1e-6)
 
 
@@ -99,6 +99,52 @@ def test_small_groups_are_judged_by_their_language(spark):
     assert sum(kept[i] for i in range(200)) >= 195
 
 
+def word_rows(rng, n, end="", first=0, lang="xx", source="s"):
+    draw = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) + end for _ in range(80)) + "."
+    return [(first + k, draw(), lang, source) for k in range(n)]
+
+
+QUALITY = "doc_id long, text string, lang string, source string"
+
+
+def test_estimates_change_smoothly_with_the_size(spark):
+    """One text more or less in a group, at any size, hardly moves the distance of another."""
+    rng = random.Random(7)
+    large, own = word_rows(rng, 300, source="large"), word_rows(rng, 400, end="-", first=1000, source="own")
+    probe = (5000, word_rows(rng, 1, end="-")[0][1], "xx", "own")
+    got = {}
+    for n in (0, 4, 5, 30, 31, 58, 59, 60, 61, 399, 400):
+        result = quality_rules.quality(frame(spark, [*large, *own[:n], probe], QUALITY)).where("doc_id = 5000").first()
+        got[n] = result["distance"], result["kept"]
+    assert not got[0][1] and got[400][1]
+    for a, b in ((4, 5), (30, 31), (58, 59), (59, 60), (60, 61), (399, 400)):
+        assert abs(got[a][0] - got[b][0]) < 0.25 * max(got[a][0], got[b][0]), (a, b, got)
+
+
+def test_salted_groups_give_the_same(spark):
+    rng = random.Random(8)
+    df = frame(spark, word_rows(rng, 120) + word_rows(rng, 6, end="$$", first=500, source=None) + word_rows(rng, 9, first=600, lang=None), QUALITY)
+    each = [sorted((r["doc_id"], r["kept"], round(r["distance"], 6)) for r in quality_rules.quality(df, max_groups=m).collect()) for m in (50_000, 1)]
+    assert each[0] == each[1]
+
+
+def test_against_the_exact_determinant(spark):
+    """All subsets of a small group are tried: the least determinant's distances reject the same texts."""
+    rng = random.Random(11)
+    rows = word_rows(rng, 15) + word_rows(rng, 2, end="$$%", first=100)
+    df = frame(spark, rows, QUALITY)
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.quality(df, shrink=0).collect()}
+    stats = quality_rules.statistics(df).collect()
+    x, floor = np.array([[r[f"s{i}"] / quality_rules.GRID for i in range(quality_rules.P)] for r in stats]), np.diag(np.square(quality_rules.FLOOR))
+    size = int(np.ceil(len(x) * quality_rules.CORE))
+    shrunk = quality_rules.CORE / quality_rules.gamma_share((quality_rules.P + 2) / 2, quality_rules.chi2_quantile(quality_rules.CORE, quality_rules.P) / 2)
+    measure = lambda part: np.cov(x[list(part)].T, bias=True) * shrunk + floor
+    best = min(itertools.combinations(range(len(x)), size), key=lambda part: np.linalg.det(measure(part)))
+    d2 = np.einsum("ni,ij,nj->n", x - x[list(best)].mean(axis=0), np.linalg.inv(measure(best)), x - x[list(best)].mean(axis=0))
+    assert {r["doc_id"]: bool(d <= quality_rules.chi2_quantile(1 - quality_rules.ALPHA, quality_rules.P)) for r, d in zip(stats, d2, strict=True)} == got
+    assert not got[100] and not got[101]
+
+
 def test_quality_edges(spark):
     schema = "doc_id long, text string, lang string, source string, gid int, bin int"
     assert quality_rules.quality(frame(spark, [], schema)).count() == 0
