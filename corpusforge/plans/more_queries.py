@@ -122,36 +122,36 @@ def candidate_fusion(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def digit_expansion(spark: SparkSession, sf: str) -> DataFrame:
-    return docs(spark, sf).select("doc_id", rewriting.expand_digits_column("text").alias("text"))
+    return docs(spark, sf).select("doc_id", rewriting.expand_digits("text").alias("text"))
 
 
 @query()
 def long_split(spark: SparkSession, sf: str) -> DataFrame:
     cut = docs(spark, sf).select("doc_id", F.explode(T.sentences("text")).alias("s"))
-    return cut.select("doc_id", F.posexplode(rewriting.split_long_column("s")).alias("pos", "piece"))
+    return cut.select("doc_id", F.posexplode(rewriting.split_long("s")).alias("pos", "piece"))
 
 
 @query()
 def normalise_full(spark: SparkSession, sf: str) -> DataFrame:
-    return docs(spark, sf).select("doc_id", rewriting.normalise_column("text").alias("text"))
+    return docs(spark, sf).select("doc_id", rewriting.normalise("text").alias("text"))
 
 
 @query()
 def respell(spark: SparkSession, sf: str) -> DataFrame:
-    done = docs(spark, sf).select("doc_id", rewriting.respell_column("text").alias("r"))
-    return done.select("doc_id", "r.text", F.to_json("r.rules").alias("rules"))
+    done = rewriting.respell_counted(docs(spark, sf).select("doc_id", "text"), "text")
+    return done.select("doc_id", F.col("respelled").alias("text"), F.to_json(F.map_from_entries(F.array_sort(F.map_entries("rules")))).alias("rules"))
 
 
 @query()
 def rule_totals(spark: SparkSession, sf: str) -> DataFrame:
-    done = docs(spark, sf).select(F.explode(rewriting.respell_column("text")["rules"]).alias("rule", "n"))
+    done = rewriting.respell_counted(docs(spark, sf).select("text"), "text").select(F.explode("rules").alias("rule", "n"))
     return done.groupBy("rule").agg(F.sum("n").alias("n"))
 
 
 @query()
 def protected_rewrite(spark: SparkSession, sf: str) -> DataFrame:
-    keep = rewriting.respell_protected_column({"The": "The", "shore": "shore", "Don": "Don"})
-    return docs(spark, sf).select("doc_id", keep("text").alias("text"))
+    keep = {"The": "The", "shore": "shore", "Don": "Don"}
+    return docs(spark, sf).select("doc_id", rewriting.protected_respell("text", keep).alias("text"))
 
 
 @query()
