@@ -17,10 +17,25 @@ def priority(source: Column | str, names: list[str]) -> Column:
 
 
 def by_priority(rows: DataFrame, key: Column | str, rank: Column, order: list[str], source: str = "source") -> DataFrame:
-    """Adds place (1: the row that stays) and winner (the source whose copy stays)."""
-    w = Window.partitionBy("_key").orderBy("_rank", *order)
+    """Adds place (1: the row that stays, 2: any other) and winner (the source whose copy stays).
+
+    Winners are found by an aggregation that combines before it shuffles, so a key may hold any share of the rows;
+    rows of equal rank and order are told apart by nothing else, order has to be unique within a key.
+    """
+    mine = F.struct("_rank", *order)
+    placed = rows.withColumns({"_key": T.col(key), "_rank": rank}).withColumn("_mine", mine)
+    best = placed.groupBy(F.col("_key").alias("_k")).agg(F.min(F.struct("_mine", F.col(source).alias("_s"))).alias("_best"))
+    joined = placed.join(best, F.col("_key").eqNullSafe(F.col("_k")))
+    first = F.when(F.col("_mine").eqNullSafe(F.col("_best._mine")), 1).otherwise(2)
+    return joined.withColumns({"place": first, "winner": F.col("_best._s")}).select(*rows.columns, "place", "winner")
+
+
+def keep_best(rows: DataFrame, key: Column | str, rank: Column, order: list[str]) -> DataFrame:
+    """The rows that by_priority puts first, by one aggregation."""
+    row = F.struct(*rows.columns)
     placed = rows.withColumns({"_key": T.col(key), "_rank": rank})
-    return placed.withColumns({"place": F.row_number().over(w), "winner": F.first(source).over(w)}).drop("_key", "_rank")
+    best = placed.groupBy("_key").agg(F.min_by(row, F.struct("_rank", *order)).alias("_row"))
+    return best.select("_row.*")
 
 
 def winners(placed: DataFrame) -> DataFrame:
@@ -29,7 +44,7 @@ def winners(placed: DataFrame) -> DataFrame:
 
 def losers(placed: DataFrame) -> DataFrame:
     """The rows that go, with the reason."""
-    return placed.where("place > 1").withColumn("reason", F.concat(F.lit("duplicada (es queda la de "), F.col("winner"), F.lit(")"))).drop("place", "winner")
+    return placed.where("place = 2").withColumn("reason", F.concat(F.lit("duplicada (es queda la de "), F.col("winner"), F.lit(")"))).drop("place", "winner")
 
 
 def first_of(rows: DataFrame, key: Column | str | list[str], order: list[str]) -> DataFrame:

@@ -44,8 +44,11 @@ def usage(rows: DataFrame, key: str, text: str) -> DataFrame:
 
 def first_examples(rows: DataFrame, key: str, text: str, most: int = 2) -> DataFrame:
     """For each word the first texts that hold it; headlines only where nothing else does."""
-    each = rows.select(key, text, F.explode(F.array_distinct(T.words(F.lower(text)))).alias("word"))
-    place = F.row_number().over(Window.partitionBy("word").orderBy(T.is_headline(text).cast("int"), key))
+    # flag and words once for each text, in a step of their own: after the explode they would be taken once a word
+    flagged = rows.select(key, T.is_headline(text).cast("int").alias("_head"), F.array_distinct(T.words(F.lower(text))).alias("_words"))
+    each = flagged.where(F.size("_words") > 0).select(key, "_head", F.explode("_words").alias("word"))
+    # tasks keep the first ones of each word before the shuffle, as the limit stands on the window itself
+    place = F.row_number().over(Window.partitionBy("word").orderBy("_head", key))
     return each.withColumn("place", place).where(F.col("place") <= most).select("word", "place", key)
 
 

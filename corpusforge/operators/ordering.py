@@ -1,7 +1,7 @@
 """Operators over an order: running sums, budgets, rounds, lots, packs and runs.
 
-Where an order is global (interleaving tiers, rounds over all rows) places come from distributed prefix counts, not
-from a window without a partition: rows are dealt into ranges of the order's key, counted, and only the counts meet.
+Where an order runs over all rows or large groups (tiers, budgets, rounds) places and sums come from
+corpusforge.operators.prefix, not from a window that would hold all of them.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import col
+from corpusforge.operators.prefix import global_place, place_within, running
 from corpusforge.operators.records import hash_number
-from corpusforge.session import materialize
 
 
 def hash_order(*parts: Column | str, seed: str = "42") -> Column:
@@ -20,27 +20,6 @@ def hash_order(*parts: Column | str, seed: str = "42") -> Column:
     return F.sha2(F.concat_ws("|", F.lit(seed), *[col(p).cast("string") for p in parts]), 256)
 
 
-def global_place(rows: DataFrame, order: list[Column | str], name: str = "place") -> DataFrame:
-    """Adds each row's place from 0 in a total order, by prefix counts over range partitions.
-
-    The dealt rows are written first: sampled ranges may differ from one evaluation to the next.
-    """
-    keys = [col(k).alias(f"_o{i}") for i, k in enumerate(order)]
-    keyed = rows.select("*", *keys)
-    names = [f"_o{i}" for i in range(len(order))]
-    dealt = materialize(keyed.repartitionByRange(*names).withColumn("_part", F.spark_partition_id()), "ranges")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*names)) - 1
-    return dealt.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + inside).drop("_part", "_start", *names)
-
-
-def running(rows: DataFrame, value: str, group: list[str], order: list[str], name: str = "running") -> DataFrame:
-    """Adds the running sum within groups, the row itself included."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn(name, F.sum(value).over(w))
-
-
 def interleave(rows: DataFrame, tier: str, value: str, order: list[str], rates: dict) -> DataFrame:
     """Adds turn: the running amount within a tier over the tier's rate; sorting by it interleaves the tiers."""
     chain = F.lit(1.0)
@@ -91,7 +70,7 @@ def by_weight(items: DataFrame, weight: str, resolution: int = 10) -> DataFrame:
 
 def interleave_groups(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     """Adds round, the place within a group; sorting by (round, group) takes the groups in turn."""
-    return rows.withColumn("round", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return place_within(rows, [group], order, "round")
 
 
 def quota(rows: DataFrame, group: str, score: str, key: str, most: int) -> DataFrame:
@@ -165,8 +144,7 @@ def pack_sessions(rows: DataFrame, group: str, order: list[str], seconds: str, k
 
 def balanced_queue(rows: DataFrame, group: str, score: str, key: str, last: str = "unknown") -> DataFrame:
     """Adds queue: groups take turns by place, those of the last group after all others."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(score), key))
-    return global_place(rows.withColumn("_n", n), [(F.col(group) == last).cast("int"), "_n", group, key], "queue").drop("_n")
+    return global_place(place_within(rows, [group], [-F.col(score), key], "_n"), [(F.col(group) == last).cast("int"), "_n", group, key], "queue").drop("_n")
 
 
 def equal_parts(n: Column, parts: Column | int, which: Column) -> tuple[Column, Column]:

@@ -45,7 +45,7 @@ def plan(rows: DataFrame, voices: DataFrame, environments: DataFrame, key: str =
     voiced = O.round_robin(shuffled.withColumnRenamed("_at", "plan_pos"), "plan_pos", voices.select(F.col("id").alias("voice")), "voice", seed)
     seats = O.by_weight(compatible(rows, environments, style), "weight")
     seats = seats.withColumns({"_seat": F.row_number().over(Window.partitionBy(style).orderBy(O.hash_order("environment", "copy", seed=seed), "environment", "copy")) - 1, "_seats": F.count("*").over(Window.partitionBy(style))})
-    within = voiced.withColumn("_k", F.row_number().over(Window.partitionBy(style).orderBy("plan_pos")) - 1)
+    within = O.place_within(voiced, [style], ["plan_pos"], "_k").withColumn("_k", F.col("_k") - 1)
     sized = within.join(seats.select(style, "_seats").distinct(), style)
     # every lap turns the order of the seats by its own amount
     lap = F.floor(F.col("_k") / F.col("_seats"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as T
+from corpusforge.operators.prefix import place_within
 
 #: Clips in a folder; per mille of ids in the development split; rows a source may hold.
 FOLDER, DEV_PER_MILLE, ROW_CAP, TEXT_CAP = 4000, 5, 50_000, 300
@@ -18,8 +19,8 @@ def with_measures(rows: DataFrame, text: str = "text") -> DataFrame:
 
 def numbered(rows: DataFrame, source: str, order: list[str], text: str = "text") -> DataFrame:
     """Records with id source-0000000 on, counted within each source in the given order."""
-    place = F.row_number().over(Window.partitionBy(source).orderBy(*order)) - 1
-    return with_measures(rows.withColumn("id", F.format_string("%s-%07d", F.col(source), place)), text)
+    placed = place_within(rows, [source], order, "_place")
+    return with_measures(placed.withColumn("id", F.format_string("%s-%07d", F.col(source), F.col("_place") - 1)).drop("_place"), text)
 
 
 def capped(rows: DataFrame, source: str, order: list[str], cap: int = ROW_CAP) -> DataFrame:

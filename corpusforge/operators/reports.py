@@ -94,11 +94,8 @@ def nested_counts(rows: DataFrame, correct: str, variant: str) -> DataFrame:
 def error_rates(rows: DataFrame, item: str, condition: str, voice: str, failed: Column, distance: str) -> DataFrame:
     """Error rate and mean distance of each item in all, by condition and by voice."""
     base = rows.select(F.col(item).alias("item"), F.col(condition).alias("condition"), F.col(voice).alias("voice"), failed.cast("int").alias("_f"), F.col(distance).cast("decimal(28,6)").alias("_d"))
-    base.createOrReplaceTempView("_measured")
-    return base.sparkSession.sql(
-        """select item, condition, voice, count(*) as n, sum(_f) as failed, cast(sum(_f) as double) / count(*) as rate, cast(sum(_d) as double) / count(*) as distance
-           from _measured group by grouping sets ((item), (item, condition), (item, voice))"""
-    )
+    sets = base.groupingSets([["item"], ["item", "condition"], ["item", "voice"]], "item", "condition", "voice")
+    return sets.agg(F.count("*").alias("n"), F.sum("_f").alias("failed"), (F.sum("_f").cast("double") / F.count("*")).alias("rate"), (F.sum("_d").cast("double") / F.count("*")).alias("distance"))
 
 
 def majority(rows: DataFrame, item: str, label: str, order: str) -> DataFrame:

@@ -247,13 +247,13 @@ def char_error_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """with n as (select distinct p_name from part), e as (select distinct split_part(p_name, ' ', 1) as e from part), w as (select e, p_name, unnest([string_split(p_name, ' ')[1], string_split(p_name, ' ')[2], p_name]) as c from e, n)
-    select e, p_name, round_even(least(min(levenshtein(e, c)::double / length(e)), 1.0), 3) as cer from w group by e, p_name"""
+    """with w as (select a.p_partkey, split_part(b.p_name, ' ', 1) as e, a.p_name, unnest([string_split(a.p_name, ' ')[1], string_split(a.p_name, ' ')[2], a.p_name]) as c from part a join part b on b.p_partkey = a.p_partkey + 1)
+    select p_partkey, e, p_name, round_even(least(min(levenshtein(e, c)::double / length(e)), 1.0), 3) as cer from w group by all"""
 )
 def window_cer(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "part")
-    pairs = p.select("p_name").distinct().crossJoin(F.broadcast(p.select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("e")).distinct()))
-    return pairs.select("e", "p_name", M.window_cer("e", "p_name").alias("cer"))
+    after = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("e"))
+    return p.join(after, "p_partkey").select("p_partkey", "e", "p_name", M.window_cer("e", "p_name").alias("cer"))
 
 
 @query()
@@ -344,11 +344,17 @@ _COS = "list_cosine_similarity(a.embedding::double[], b.embedding::double[])"
 
 @query(f"with a as (select * from embeddings where vec_id % 100 = 0) select a.vec_id, arg_max(b.vec_id, ({_COS}, -b.vec_id)) as nearest, max({_COS}) as similarity from a, embeddings b where a.vec_id <> b.vec_id group by a.vec_id")
 def cosine_top1(spark: SparkSession, sf: str) -> DataFrame:
-    """Of every hundredth vector the nearest of all others; the stated query set is broadcast against all rows."""
-    e = table(spark, sf, "embeddings")
+    """Of every hundredth vector the nearest of all others; the stated query set goes against all rows in blocks of bounded size."""
+    e, block = table(spark, sf, "embeddings"), 20_000
     asked = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("qe"))
-    pairs = e.join(asked, F.col("vec_id") != F.col("q")).withColumn("s", M.cosine("qe", "embedding"))
-    return pairs.groupBy(F.col("q").alias("vec_id")).agg(F.max_by("vec_id", F.struct("s", -F.col("vec_id"))).alias("nearest"), F.max("s").alias("similarity"))
+    blocks = max(1, -(-asked.count() // block))
+    found = None
+    for b in range(blocks):
+        part = F.broadcast(asked.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b))
+        pairs = e.join(part, F.col("vec_id") != F.col("q")).withColumn("s", M.cosine("qe", "embedding"))
+        best = pairs.groupBy(F.col("q").alias("vec_id")).agg(F.max_by("vec_id", F.struct("s", -F.col("vec_id"))).alias("nearest"), F.max("s").alias("similarity"))
+        found = best if found is None else found.unionByName(best)
+    return found
 
 
 @query("with x as (select vec_id, label, unnest(embedding) as v, generate_subscripts(embedding, 1) as k from embeddings), c as (select label, k, avg(v::double) as m from x group by label, k) select vec_id, label, sum(v::double * m) / (sqrt(sum(v::double * v::double)) * sqrt(sum(m * m))) as similarity from x join c using (label, k) group by vec_id, label")

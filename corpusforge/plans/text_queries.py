@@ -159,14 +159,14 @@ _RANKED = f"r as (select doc_id, source, text, row_number() over w as place, fir
 
 @query(f"with {_RANKED} select doc_id, source from r where place = 1")
 def dedup_priority(spark: SparkSession, sf: str) -> DataFrame:
-    placed = D.by_priority(docs(spark, sf), T.dedup_key("text"), D.priority("source", PRIORITY), ["doc_id"])
-    return D.winners(placed).select("doc_id", "source")
+    slim = docs(spark, sf).select("doc_id", "source", T.dedup_key("text").alias("k"))
+    return D.keep_best(slim, "k", D.priority("source", PRIORITY), ["doc_id"]).select("doc_id", "source")
 
 
 @query(f"with {_RANKED} select doc_id, source, 'duplicada (es queda la de ' || winner || ')' as reason from r where place > 1")
 def dedup_losers(spark: SparkSession, sf: str) -> DataFrame:
-    placed = D.by_priority(docs(spark, sf), T.dedup_key("text"), D.priority("source", PRIORITY), ["doc_id"])
-    return D.losers(placed).select("doc_id", "source", "reason")
+    slim = docs(spark, sf).select("doc_id", "source", T.dedup_key("text").alias("k"))
+    return D.losers(D.by_priority(slim, "k", D.priority("source", PRIORITY), ["doc_id"])).select("doc_id", "source", "reason")
 
 
 _NUM = "[" + ", ".join(f"'{w}'" for w in T.NUMBER_WORDS) + "]"
@@ -249,6 +249,7 @@ def surviving_sentences(spark: SparkSession, sf: str) -> DataFrame:
     fixed, reason = gates.capture_reason("text")
     good = lines(spark, sf).withColumns({"reason": reason, "c": fixed}).where(r"reason is null and not (c rlike '[\"()]')")
     bench = table(spark, sf, "benchmark").select(F.explode(F.split("text", "\n")).alias("text"))
-    unseen = D.without(good, bench, T.dedup_key("c"), T.dedup_key("text"))
-    placed = D.by_priority(unseen, T.dedup_key("c"), D.priority("source", PRIORITY), ["doc_id"])
-    return D.winners(placed).groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum(F.length("c")).alias("chars"))
+    keyed = good.select("doc_id", "lang", "source", F.length("c").alias("chars"), T.dedup_key("c").alias("k"))
+    unseen = D.without(keyed, bench, F.col("k"), T.dedup_key("text"))
+    kept = D.keep_best(unseen, "k", D.priority("source", PRIORITY), ["doc_id"])
+    return kept.groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
