@@ -1,10 +1,12 @@
 """HTML extraction by tree scoring.
 
 A page becomes a tree. Every paragraph passes points for its length and its commas to its parent, half of them to
-the grandparent and less to those above; a node's points are discounted by the share of its text that stands in
-links. The best container is kept, with those of its siblings that look like parts of the same article. Menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are known by tag, role or the
-words of class and id, and by lists that are nearly all links; they neither score nor appear.
+the grandparent and so on upwards; a node's points are discounted by the share of its text that stands in links. The
+best container is kept, with those of its siblings that look like parts of the same article; a container inside an
+article or main element stands for that. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
+and comments are known by tag, role or the words of class and id, and outside of articles by lists that are nearly all
+links; they neither score nor appear. All counts go up the tree once, from the last element to the first, so the time
+grows with the page however deep it is.
 """
 
 from __future__ import annotations
@@ -33,10 +35,13 @@ SCOPE = frozenset("table td th caption html body article section div button".spl
 DROPPED = frozenset("nav header footer aside form button select input label fieldset dialog object embed canvas audio video map menu head".split())
 #: Words of class and id that mark what isn't the article.
 MARKS = frozenset(
-    "nav navbar navigation navigator menu menubar header masthead footer foot sidebar aside ad ads adv advert adverts advertisement advertising adsense adslot banner banners cookie cookies consent gdpr notice notices notification notifications alert "
-    "popup modal overlay promo promotion promoted sponsor sponsored comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations breadcrumb breadcrumbs pagination pager paging "
-    "subscribe subscription newsletter signup login signin search searchbox searchform toolbar widget widgets copyright skip skiplink outbrain taboola tags tagcloud byline dateline rating print paywall form toc hidden".split()
+    "nav navbar navigation navigator menu menubar header masthead footer sidebar aside ad ads adv advert adverts advertisement advertising adsense adslot banner banners cookie cookies consent gdpr notice notices notification notifications alert "
+    "popup modal overlay promo sponsor sponsored comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations breadcrumb breadcrumbs pagination pager paging "
+    "subscribe subscription newsletter signup login signin search searchbox searchform toolbar widget widgets copyright skip skiplink outbrain taboola tagcloud".split()
 )
+#: Words that also stand in the names of an article's own parts: they count for boxes outside of articles only.
+WEAK_MARKS = frozenset("tags byline dateline rating print paywall form toc hidden promoted promotion foot note".split())
+BOXES = frozenset("div section ul ol table aside span".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar note tablist".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td blockquote div section article li dd main body".split())
@@ -46,14 +51,22 @@ TAG_STEP = re.compile(r""">|=\s*(["'])""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 LEAST_LENGTH = 25
+PASSING = frozenset("ul ol dl blockquote".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "depth", "dropped", "points", "chars", "linked", "links", "order", "kept")
+    __slots__ = ("tag", "parent", "dropped", "points", "chars", "linked", "links", "order", "kept", "scope", "opened", "article", "holder", "home")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool, order: int) -> None:
         self.tag, self.parent, self.dropped, self.order = tag, parent, dropped, order
-        self.depth = parent.depth + 1 if parent else 0
+        #: the nearest element, itself included, that inline end tags don't reach beyond; it counts what is open in it
+        self.scope = self if parent is None or tag in SCOPE else parent.scope
+        self.opened: dict[str, int] | None = {} if self.scope is self else None
+        self.article = tag == "article" or parent is not None and parent.article
+        #: the nearest block, itself included
+        self.holder = self if parent is None or tag in BLOCKS else parent.holder
+        #: the nearest element, itself included, that points are given to: lists and quotations pass theirs on
+        self.home = parent.home if parent is not None and tag in PASSING else self
         self.points, self.chars, self.linked, self.links, self.kept = 0.0, 0, 0, 0, False
 
 
@@ -70,8 +83,9 @@ def tag_end(page: str, at: int) -> int:
     return page.find(">", at)
 
 
-def _unwanted(tag: str, attributes: str) -> bool:
+def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether an element is no part of any article."""
+    weak = tag in BOXES and not in_article
     if tag in DROPPED:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
@@ -81,7 +95,7 @@ def _unwanted(tag: str, attributes: str) -> bool:
         if name in ("class", "id"):
             for one in value.split():
                 words = [w.lower() for w in WORDS.findall(one)]
-                if any(w in MARKS and not (i and words[i - 1] in ("with", "has", "no", "without", "entry", "post", "article")) for i, w in enumerate(words)):
+                if any((w in MARKS or weak and w in WEAK_MARKS) and not (i and words[i - 1] in ("with", "has", "no", "without", "entry", "post", "article")) for i, w in enumerate(words)):
                     return True
         elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
@@ -96,6 +110,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     nodes, blocks, now = [root], [], root
     pieces: list[str] = []
     holder, linked, anchor = root, 0, 0
+    opened: dict[str, int] = {}
     at, size, lower = 0, len(page), None
 
     def flush() -> None:
@@ -113,9 +128,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             return
         text = html.unescape(text) if "&" in text else text
         if not pieces:
-            holder = now
-            while holder.tag not in BLOCKS and holder.parent is not None:
-                holder = holder.parent
+            holder = now.holder
         pieces.append(text)
         if anchor:
             linked += len(text.strip())
@@ -128,11 +141,17 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
                 flush()
             if now.tag == "a":
                 anchor = max(0, anchor - 1)
+            opened[now.tag] -= 1
+            above = (now.parent or root).scope.opened
+            above[now.tag] -= 1
             last, now = now, now.parent or root
             if last is node:
                 return
 
     def close(tags: tuple[str, ...], stops: tuple[str, ...] | frozenset[str]) -> None:
+        # what isn't open isn't looked for: a walk up the tree that finds nothing would be made again and again
+        if not any((now.scope.opened if stops is SCOPE else opened).get(t) for t in tags):
+            return
         node = now
         while node.parent is not None and node.tag not in tags:
             if node.tag in stops:
@@ -176,7 +195,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             elif name not in VOID:
                 if name in BLOCKS:
                     flush()
-                node = now
+                node = now if (opened if name in BLOCKS else now.scope.opened).get(name) or now.tag == name else root
                 while node.parent is not None and node.tag != name:
                     if name not in BLOCKS and node.tag in SCOPE:
                         break
@@ -202,12 +221,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             continue
         if name == "a":
             close(("a",), SCOPE)
-        now = Node(name, now, now.dropped or _unwanted(name, page[found.end() : end]), len(nodes))
+        opened[name] = opened.get(name, 0) + 1
+        now.scope.opened[name] = now.scope.opened.get(name, 0) + 1
+        now = Node(name, now, now.dropped or _unwanted(name, page[found.end() : end], now.article), len(nodes))
         nodes.append(now)
         if name == "a":
             anchor += 1
-            for up in _above(now):
-                up.links += 1
+            now.links = 1
     flush()
     return nodes, blocks
 
@@ -221,21 +241,26 @@ def _above(node: Node | None) -> Iterator[Node]:
 def best_nodes(nodes: list[Node], blocks: list[tuple[Node, str, int]]) -> list[Node]:
     """The best container and its kept siblings; empty without any text."""
     for node, text, linked in blocks:
-        for up in _above(node):
-            up.chars += len(text)
-            up.linked += linked
+        node.chars += len(text)
+        node.linked += linked
+    for node in reversed(nodes):  # children stand behind their parents
+        if node.parent is not None:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
+            node.parent.links += node.links
     for node in nodes:
-        if node.tag in ("ul", "ol", "dl", "table", "div", "p") and node.links >= 3 and node.linked >= 0.8 * node.chars:
+        if not node.article and node.tag in ("ul", "ol", "dl", "table", "div", "p") and node.links >= 3 and node.linked >= 0.8 * node.chars:
             node.dropped = True
         if node.parent is not None and node.parent.dropped:
             node.dropped = True
     for node, text, linked in blocks:
         if node.dropped or node.tag in HEADINGS or node.tag not in PARAGRAPHS:
             continue
-        points = (text.count(",") + text.count("，") + min(len(text) / 100, 3) + (len(text) >= LEAST_LENGTH)) * (1 - linked / len(text))
-        own = node if node.tag in ("div", "section", "article", "main", "td", "body") else node.parent
-        for level, up in enumerate(_above(own)):
-            up.points += points if not level else points / 2 if level == 1 else points / (3 * level)
+        own = node if node.tag in ("div", "section", "article", "main", "td", "body") else node.parent.home
+        own.points += (text.count(",") + text.count("，") + min(len(text) / 100, 3) + (len(text) >= LEAST_LENGTH)) * (1 - linked / len(text))
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.points += node.points / 2
     value = lambda n: n.points * (1 - n.linked / max(1, n.chars))
     usable = [n for n in nodes if not n.dropped and n.points > 0 and n.tag not in ("html", "#root")] or [n for n in nodes if not n.dropped and n.points > 0]
     if not usable:

@@ -431,6 +431,54 @@ def test_long_quoted_attributes(n):
     assert html_text.main_text("<article><p title='open>" + "word, word and word, to be long enough. " * 400 + "</p></article>").startswith("word, word")
 
 
+@pytest.mark.parametrize("piece", ["<div><a href=x>link</a><p>A paragraph, with commas, in a div that never closes.", "<b><p>text, and more</b>", "<ul><li><a>x</a>y", "<blockquote><p>quoted, text", "<b></i></span></ul>text <a>", "<dl><dt>t<dd>d, e", "<body><p>x", "<table><tr><td><p>x, y"])
+def test_deep_pages_in_linear_time(piece):
+    """Twenty thousand elements that never close: counts go up the tree once, and nothing that isn't open is looked for."""
+    import time
+
+    start = time.perf_counter()
+    html_text.main_text("<html><body>" + piece * 10_000)
+    assert time.perf_counter() - start < 3
+
+
+def test_parts_of_an_article_stay():
+    """Paragraphs whose names merely hold a doubtful word, and lists of references, are the article's own."""
+    kept = ["<p class='note print'>A note, in print.</p>", "<p id='form-of-life'>On forms of life, and more.</p>", "<div class='byline-free rating'>Rated, and kept.</div>"]
+    links = "<ul>" + "".join(f"<li><a href='{k}'>Reference {k}</a></li>" for k in range(3)) + "</ul>"
+    got = html_text.main_text(f"<article>{ARTICLE}{''.join(kept)}{links}</article><div class='print'>Print, this, page</div>")
+    assert got == EXPECTED + "\nA note, in print.\nOn forms of life, and more.\nRated, and kept.\nReference 0\nReference 1\nReference 2"
+    assert html_text.main_text(f"<article>{ARTICLE}<p class='advert'>Buy, now</p><div class='comments'>Nice, text</div><div class='related-links'>{links}</div></article>") == EXPECTED
+
+
+def made_page(rng):
+    """A page in a browser's sense of it, and its article's blocks."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    sentence = lambda n: ", ".join(" ".join(word() for _ in range(4)) for _ in range(n))
+    blocks, body = [], []
+    for _ in range(rng.randrange(4, 12)):
+        text = sentence(rng.randrange(3, 9))
+        mark = rng.choice(["p", "h2", "blockquote", "pre", "li"])
+        inner = text.replace(" ", rng.choice([" ", "  ", "\n", " <b>x</b> "]), 1) if mark == "p" else text
+        blocks.append(" ".join(re.sub("<[^>]*>", "", inner).split()))
+        body.append(f"<ul><li>{inner}</li></ul>" if mark == "li" else f"<{mark}>{inner}</{mark}>")
+        if rng.random() < 0.2:
+            body.append(rng.choice(["<script>var a = '<p>no</p>';</script>", "<!-- <p>no, no</p> -->", "<form><p>Name, mail, and more</p><input></form>", "<div class='ad-box'><p>Buy, now, all</p></div>", "<style>p {}</style>"]))
+    article = "".join(body)
+    for _ in range(rng.randrange(3)):
+        article = f"<{(t := rng.choice(['div', 'section', 'main']))}>{article}</{t}>"
+    menu = "<nav><ul>" + "".join(f"<li><a href=/{k}>{word()}</a></li>" for k in range(5)) + "</ul></nav>"
+    side = f"<aside><p>{sentence(3)}</p></aside><footer>{sentence(2)}</footer><div class='comments'><p>{sentence(8)}</p></div>"
+    return f"<!doctype html><html><head><title>{word()}</title></head><body>{menu}<div id='content'>{article}</div>{side}</body></html>", "\n".join(blocks)
+
+
+def test_pages_made_from_their_articles():
+    """Pages built around known articles give those back."""
+    rng = random.Random(21)
+    for _ in range(300):
+        page, want = made_page(rng)
+        assert html_text.main_text(page) == want, page
+
+
 def test_page_edges(spark):
     assert [html_text.main_text(x) for x in (None, "", "<p>", "<nav>x</nav>", "plain text", "a < b", "<p>&#233;&lt;&nope;</p>", "<p unclosed")] == ["", "", "", "", "plain text", "a < b", "é<&nope;", ""]
     many = "<article>" + "<p>word, word and word again, to be long.</p>" * 5000 + "</article>"
