@@ -1,6 +1,6 @@
 """Mixing sources to target weights, by DataFrame functions alone.
 
-Every document gets a random key from a hash of its id. Within a source documents stand in key order; the uniform
+Every document gets a random key from a hash of its id and text. Within a source documents stand in key order; the uniform
 key's leading digits cut the order into ranges of equal width, word counts are summed by range, the sums run over a
 source's ranges, and only within its range is a document sorted. So the prefix sum of every document comes from
 two small windows, and no window holds a source. A source's budget is met to the word: whole epochs first, then
@@ -25,7 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Rows (doc_id, source, size, key): the number of words and the hash-random key."""
     size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    key = F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.md5(text_col), F.lit(""))))
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("key"))
 
 
@@ -64,7 +64,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken is the number of words the mix takes from the document, repeats counted: at most most_epochs times its
     size. A source's taken words add up to its target, rounded. A null text has no words, null sources are one
     source and come last, documents without words take none, sources without words have target 0; repeated rows
-    are mixed row by row, ties in the key stand in the order (doc_id, size). An empty table gives an empty result.
+    are mixed row by row. Rows of one key have the same id and text, so whichever comes first the result is the same. An empty table gives an empty result.
     """
     all_sized = materialize(sized(docs, id_col, text_col, source_col), "sized")
     goal = targets(all_sized, weights, share_percent, most_epochs)
@@ -84,7 +84,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 ORACLE = r"""
 with d as (
-  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size, md5(coalesce(doc_id::varchar, '')) as k from documents),
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size, md5(coalesce(doc_id::varchar, '') || '|' || coalesce(md5(text), '')) as k from documents),
 s as (select source, sum(size)::bigint as source_size from d group by source),
 w as (
   select source, source_size, 2 * source_size as most, ([3, 1, 2])[((row_number() over (order by source nulls last)) - 1) % 3 + 1] as weight from s),
