@@ -3,7 +3,8 @@
 Two bigram models, interpolated with unigrams. The target model is counted over the documents that labels call good,
 the background model over all documents, its counts scaled to the target's number of tokens, so both are models of
 corpora of one size with the same smoothing. Each token's loss under the target less its loss under the background is
-averaged: the lower a document's score, the nearer it is to the target.
+averaged: the lower a document's score, the nearer it is to the target. A document's own counts are taken out of both
+models before it is scored, so no text is judged by itself.
 
 Counts are exact: words, contexts and bigrams are told apart by 64-bit hashes, and no table has a fixed size. Documents
 are dealt into lots. A lot asks for the counts of the distinct words and bigrams in it and gives its own; askers meet by
@@ -112,19 +113,33 @@ class Lot:
             out.append((words + pairs, np.where(words > 0, words - contexts, 0)))
         return np.stack([x[k] for k in (0, 1) for x in out])
 
-    def losses(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each text's mean loss in nats under the target and the background; table has the corpus' counts."""
-        total, everything = table[:2, 0].astype(float)
-        models = [(table[0], table[2], 1.0), (table[1], table[3], total / everything)] if total else [(table[1], table[3], 1.0)] * 2
-        total = total or everything
+    def own(self) -> np.ndarray:
+        """For each token how often its word, context and bigram occur in its own text, as rows."""
+        which = np.repeat(np.arange(len(self.lengths)), self.lengths) * len(self.keys)
+        out = []
+        for at in self.at:
+            _, place, n = np.unique(which + at, return_inverse=True, return_counts=True)
+            out.append(n[place])
+        return np.stack(out)
+
+    def losses(self, table: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's mean loss in nats under the target and the background without it; table has the corpus' counts."""
+        own, sizes = self.own(), np.repeat(self.lengths, self.lengths).astype(float)
+        in_target = np.repeat(good, self.lengths)
+        rest = table[1, 0] - sizes  # tokens of all other texts
+        if table[0, 0]:
+            target = table[0, 0] - np.where(in_target, sizes, 0)
+            models = [(table[0], table[2], 1.0, in_target), (table[1], table[3], target / np.maximum(rest, 1), 1)]
+        else:
+            target, models = rest, [(table[1], table[3], 1.0, 1)] * 2
         word, context, pair = self.at
         some = np.flatnonzero(self.lengths)
         starts = (np.cumsum(self.lengths) - self.lengths)[some]
         out = []
-        for counts, last, scale in models:
-            single = (counts[word] * scale + SMOOTH) / (total + SMOOTH * VOCABULARY)
-            before = counts[context] - last[context]
-            double = counts[pair] / np.maximum(before, 1)
+        for counts, last, scale, mine in models:
+            single = ((counts[word] - own[0] * mine) * scale + SMOOTH) / (target + SMOOTH * VOCABULARY)
+            before = counts[context] - last[context] - own[1] * mine
+            double = (counts[pair] - own[2] * mine) / np.maximum(before, 1)
             known = before > 0
             loss = -np.log(np.where(known, MIX * np.minimum(double, 1), 0) + np.where(known, 1 - MIX, 1) * single)
             means = np.zeros(len(self.lengths))
@@ -200,9 +215,11 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _scoring(lot: int, ids: list, held: Lot, others: list) -> pa.RecordBatch:
-    table = np.concatenate([_unpacked(x[2]).astype(np.int64) for x in sorted(others, key=lambda x: x[0])], axis=1)
+    target = {x[3] for x in others if x[2] is None}
+    answers = sorted((x for x in others if x[2] is not None), key=lambda x: x[0])
+    table = np.concatenate([_unpacked(x[2]).astype(np.int64) for x in answers], axis=1)
     none = held.lengths == 0
-    a, b = held.losses(table)
+    a, b = held.losses(table, np.array([i is not None and i in target for i in ids], bool))
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held.lengths), *(pa.array(x, pa.float64(), mask=none) for x in (a, b, a - b))], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
 
@@ -226,7 +243,8 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     """Rows (doc_id, n_tokens, target_loss, background_loss, score), one for each row of docs.
 
     Losses are means per token, score is target_loss - background_loss. Words are separated by ASCII white space and
-    compared without ASCII case. Texts without a word, null ones too, have no tokens, null losses and a null score.
+    compared without ASCII case. Both models leave the text itself out; a repeated row still counts for its equals. Ids
+    are taken as whole numbers. Texts without a word, null ones too, have no tokens, null losses and a null score.
     Without any target document both models are the background's and every score is 0. Ids in target that docs
     lacks and null ids are ignored; repeated rows count and are scored each; other columns are not read.
     """
@@ -238,4 +256,4 @@ def score(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     asked = texts.unionByName(ids).repartition("lot").sortWithinPartitions("lot", "kind").mapInArrow(_asking(ranges), ASKED)
     answers = asked.repartition("range").sortWithinPartitions("range").mapInArrow(_answers, DEALT)
     schema = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-    return texts.unionByName(answers).repartition("lot").sortWithinPartitions("lot", "kind").mapInArrow(lambda b: _lots(b, _scoring), schema)
+    return texts.unionByName(ids).unionByName(answers).repartition("lot").sortWithinPartitions("lot", "kind").mapInArrow(lambda b: _lots(b, _scoring), schema)
