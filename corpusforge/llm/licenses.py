@@ -27,12 +27,17 @@ TEMPLATES = {
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
         "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "Distributed under the MIT License.",
+        "SPDX-License-Identifier: MIT",
+        "License: MIT",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Released under the Apache License 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "Distributed under the Apache License, Version 2.0.",
+        "SPDX-License-Identifier: Apache-2.0",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -40,45 +45,68 @@ TEMPLATES = {
         "Released under the GPL.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
+        "Distributed under the GNU General Public License.",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0",
     ),
     "LGPL": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
     ),
     "AGPL": (
         "Licensed under the GNU Affero General Public License, version 3.",
         "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
     ),
     "BSD": (
         "Licensed under the BSD 3-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+        "Licensed under the BSD 2-Clause License.",
+        "Distributed under the BSD license.",
+        "BSD 3-Clause License",
+        "BSD 2-Clause License",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "MPL-2.0": (
         "Licensed under the Mozilla Public License, version 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-4.0",
     ),
     "CC-BY-SA": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
     ),
     "CC-BY-NC": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ),
     "CC0": (
         "Released into the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "SPDX-License-Identifier: CC0-1.0",
     ),
-    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.", "SPDX-License-Identifier: Unlicense"),
     "ISC": (
         "Licensed under the ISC License.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
     ),
 }
 PLAIN = (
@@ -91,6 +119,22 @@ PLAIN = (
     "Creative people are common in the city, and attribution of the paintings is hard.",
     "The foundation gave a free copy of the book to every school.",
     "A notice appeared in the paper with the conditions of the sale.",
+    "The software is licensed per seat, and the licence ends when the contract does.",
+    "By using this site you agree to the terms and conditions, which may change without notice.",
+    "All rights reserved, and no part of this publication may be reproduced without the permission of the publisher.",
+    "Copyright of the photographs lies with the artists who kindly gave their permission.",
+    "The driver must carry a valid license and the papers of the vehicle at any time.",
+    "The identifier of the licence is printed on the back of the card.",
+    "A license is needed to sell wine in the town, and the fee is paid each year.",
+    "The warranty covers parts and labour for two years and does not extend to damage by water.",
+    "The contract was sold without warranty of any kind, which the buyer accepted.",
+    "The public domain of the crown was sold to private persons in the last century.",
+    "The library is free for any purpose that serves the public, and books are lent without a fee.",
+    "He taught at MIT for a year before he moved to the west coast.",
+    "The source of the river is in the mountains and its form is that of a wide lake.",
+    "Version 2.0 of the programme was published in March and version 3 is planned.",
+    "The work of the commons committee was released into the archive last spring.",
+    "The university distributed the grants under the rules of the foundation.",
     "Rain is likely later in the week, with wind from the west and a warm evening.",
 )
 WORD = re.compile(rb"[a-z0-9]+(?:[.\-/][a-z0-9]+)*")
