@@ -20,6 +20,8 @@ def _accent_map() -> tuple[str, str]:
 
 
 MARKED, BARE = _accent_map()
+#: The same in capitals, where a letter has a single one.
+CAPITALS_MARKED, CAPITALS_BARE = ("".join(x) for x in zip(*((m.upper(), b.upper()) for m, b in zip(MARKED, BARE, strict=True) if len(m.upper()) == 1 and m.upper() != m), strict=True))
 WORD = r"[\p{L}]+(?:['’][\p{L}]+)*"
 #: Reading speeds in characters a second.
 SPEED_READ, SPEED_SPOKEN, SPEED_SLOW = 9.16, 14.7, 11.9
@@ -98,7 +100,7 @@ def last_word(x: Column | str) -> Column:
 
 def slug(x: Column | str) -> Column:
     """ASCII letters and digits, all else one hyphen; case stays."""
-    plain = F.translate(F.translate(col(x), MARKED, BARE), MARKED.upper() if len(MARKED.upper()) == len(MARKED) else "", BARE.upper())
+    plain = F.translate(F.translate(col(x), MARKED, BARE), CAPITALS_MARKED, CAPITALS_BARE)
     return F.trim(F.regexp_replace(plain, "[^A-Za-z0-9]+", "-"), F.lit("-"))
 
 

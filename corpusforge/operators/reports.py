@@ -154,7 +154,9 @@ def audit(checks: list[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def markdown(report: DataFrame, title: str, most: int = 1000) -> str:
-    """A report as a Markdown table; for tables of a report's size."""
-    held = report.limit(most).collect()
+    """A report as a Markdown table; a table of more rows is no report and raises an error."""
+    held = report.limit(most + 1).collect()
+    if len(held) > most:
+        raise ValueError(f"more than {most} rows in the report {title!r}")
     line = lambda cells: "| " + " | ".join("" if c is None else f"{c:.2f}" if isinstance(c, float) else str(c) for c in cells) + " |"
     return "\n".join([f"## {title}", "", line(report.columns), line(["---"] * len(report.columns)), *(line(r) for r in held)])
