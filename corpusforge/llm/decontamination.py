@@ -121,3 +121,23 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     found = contaminated(docs, items, id_col, text_col).where(F.col("item_tokens") >= decisive).select(F.struct("doc_id", "doc_hash").alias("__leak")).distinct()
     key = F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("doc_hash"))
     return docs.join(found, key.eqNullSafe(F.col("__leak")), "left_anti")
+
+
+ORACLE = rf"""
+with d0 as (select distinct doc_id, text from documents where text is not null),
+d1 as (select doc_id, row_number() over () as dk, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') as t from d0),
+b1 as (select item_id, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') as t from benchmark),
+d2 as (select doc_id, dk, unnest(t) as w, generate_subscripts(t, 1) - 1 as p from d1),
+b2 as (select item_id, len(t) as n, least(len(t), {OVERLAP}) as stretch, unnest(t) as w, generate_subscripts(t, 1) - 1 as q from b1),
+met as (
+  select doc_id, dk, item_id, n, stretch, p - q as d, list(q) as qs from d2 join b2 using (w)
+  group by doc_id, dk, item_id, n, stretch, d having 100 * count(*) >= {AGREE_PERCENT} * stretch),
+start as (select *, unnest(range(0, n - stretch + 1)) as s from met),
+good as (select * from start where 100 * len(list_filter(qs, lambda q: q >= s and q < s + stretch)) >= {AGREE_PERCENT} * stretch),
+diagonal as (
+  select doc_id, dk, item_id, d, any_value(qs) as qs, min(s) as a, max(s) + any_value(stretch) as b from good group by doc_id, dk, item_id, d),
+place as (select *, d + a as doc_start, b - a as overlap, len(list_filter(qs, lambda q: q >= a and q < b)) as matched from diagonal),
+best as (
+  select *, row_number() over (partition by doc_id, dk, item_id order by matched desc, doc_start) as k, count(*) over (partition by doc_id, dk, item_id) as n_places from place)
+select doc_id, item_id, n_places, doc_start, overlap, matched::bigint as matched from best where k = 1
+"""

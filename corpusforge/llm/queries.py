@@ -60,4 +60,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE, "op5_mixing": mixing.ORACLE, "op6_url_filter": url_filter.oracle()}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op5_mixing": mixing.ORACLE, "op6_url_filter": url_filter.oracle(), "op8_decontamination": decontamination.ORACLE}
