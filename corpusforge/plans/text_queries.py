@@ -23,7 +23,18 @@ def sentence_split_newline(spark: SparkSession, sf: str) -> DataFrame:
     return docs(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-@query()
+_ABBREVIATED = "|".join(T.ABBREVIATIONS)
+
+
+@query(
+    rf"""with l as (select doc_id, unnest(string_split(text, chr(10))) as x, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
+    c as (select doc_id, i, {clean('x')} as x from l),
+    m as (select doc_id, i, regexp_replace(x, '([.!?…]["»)”’]?)\s+(["«''(“‘]?[A-ZÀÁÈÉÍÏÒÓÚÜÇ])', '\1' || chr(1) || '\2', 'g') as x from c where x <> ''),
+    j as (select doc_id, i, regexp_replace(regexp_replace(regexp_replace(x, '((?:^|[^\p{{L}}\p{{N}}_])(?i:{_ABBREVIATED})\.)\x01', '\1 ', 'g'), '((?:^|[^\p{{L}}\p{{N}}_])\p{{Lu}}\.)\x01', '\1 ', 'g'), '((?:^|[^\p{{L}}\p{{N}}_])\p{{Lu}}\.)\x01', '\1 ', 'g') as x from m),
+    s as (select doc_id, i, list_filter(list_transform(string_split(x, chr(1)), lambda y: trim(y)), lambda y: y <> '') as p from j),
+    f as (select doc_id, flatten(list(p order by i)) as p from s group by doc_id)
+    select doc_id, unnest(p) as sentence, generate_subscripts(p, 1) - 1 as pos from f"""
+)
 def sentence_split(spark: SparkSession, sf: str) -> DataFrame:
     return docs(spark, sf).select("doc_id", F.posexplode(T.sentences("text")).alias("pos", "sentence"))
 
@@ -146,9 +157,9 @@ def case_usage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""with w as (select distinct doc_id, unnest({words('lower(text)')}) as word,
+    f"""with d as materialized (select doc_id, list_distinct({words('lower(text)')}) as ws,
       len(regexp_extract_all(text, '[^\\s]+')) >= 3 and len(regexp_extract_all(text, '\\p{{Lu}}')) * 10 >= 8 * len(regexp_extract_all(text, '\\p{{L}}')) and regexp_matches(text, '\\p{{L}}') as head from documents),
-    r as (select word, row_number() over (partition by word order by head::int, doc_id) as place, doc_id from w) select word, place, doc_id from r where place <= 2"""
+    w as (select doc_id, head, unnest(ws) as word from d), r as (select word, row_number() over (partition by word order by head::int, doc_id) as place, doc_id from w) select word, place, doc_id from r where place <= 2"""
 )
 def first_two_examples(spark: SparkSession, sf: str) -> DataFrame:
     return lexicon.first_examples(docs(spark, sf), "doc_id", "text")
