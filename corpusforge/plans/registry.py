@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from corpusforge.plans import base, function_queries, io_queries, more_queries, relation_queries, text_queries
+from corpusforge.plans import base, function_queries, io_queries, more_queries, relation_queries, study_queries, text_queries
 from corpusforge.plans.base import Query
 
 FLAGSHIP = "surviving_sentences"
-MODULES = (text_queries, relation_queries, more_queries, io_queries, function_queries)
+MODULES = (text_queries, relation_queries, more_queries, io_queries, function_queries, study_queries)
 
 
 def queries() -> dict[str, Query]:
