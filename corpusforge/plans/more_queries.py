@@ -27,7 +27,18 @@ def html_links(spark: SparkSession, sf: str) -> DataFrame:
     return pages(spark, sf).select("page_id", F.array_sort(readers.links("html", ".")).alias("links"))
 
 
-@query()
+_BODY = "html"
+for _tag in readers.DROPPED.split("|"):
+    _BODY = rf"regexp_replace({_BODY}, '(?is)<{_tag}\b.*?</{_tag}\s*>', ' ', 'g')"
+_CUT = r"regexp_replace(regexp_replace(y, '(?is)(</p\s*>|</article|</body).*$', ''), '<[^>]*>', ' ', 'g')"
+for _old, _new in (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    _CUT = f"replace({_CUT}, '{_old}', '{_new}')"
+
+
+@query(
+    rf"""with s as (select page_id, string_split(regexp_replace({_BODY}, '(?i)<p\b[^>]*>', chr(1), 'g'), chr(1))[2:] as p from pages)
+    select page_id, array_to_string(list_filter(list_transform(p, lambda y: trim(regexp_replace({_CUT}, '\s+', ' ', 'g'))), lambda y: y <> ''), chr(10)) as text from s"""
+)
 def html_to_text(spark: SparkSession, sf: str) -> DataFrame:
     return pages(spark, sf).select("page_id", F.array_join(readers.paragraphs("html"), "\n").alias("text"))
 
