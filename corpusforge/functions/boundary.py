@@ -71,6 +71,13 @@ def ask(rows: DataFrame, key: str, prompt: str, call: Call, batch: int = 20) ->
     return slim.mapInPandas(run, "key string, answer string, error string")
 
 
+def without_failing(rows: DataFrame, answers: DataFrame, key: str, group: str) -> DataFrame:
+    """rows of the groups (voices) none of whose prompts failed when it stood alone; answers are those of ask."""
+    failed = answers.where("error is not null").select(F.col("key").alias("_k"))
+    gone = rows.join(failed, F.col(key).cast("string") == F.col("_k"), "left_semi").select(group).distinct()
+    return rows.join(gone, group, "left_anti")
+
+
 def ask_cached(rows: DataFrame, prompt: str, model: str, call: Call, cache: DataFrame, batch: int = 20) -> DataFrame:
     """Rows (key, answer, error) for prompts that a cache (key, answer) doesn't have yet."""
     keyed = rows.select(cache_key(model, prompt).alias("key"), F.col(prompt).alias("prompt")).dropDuplicates(["key"])

@@ -113,6 +113,13 @@ def stressed_place(x: Column | str) -> Column:
 # --- training
 
 
+def known_speakers(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (id, source, embedding) of a bank's manifest; none where there is no manifest, rows without an embedding left out."""
+    from corpusforge.sources.readers import read_jsonl
+
+    return read_jsonl(spark, path, "id string, source string, embedding array<double>").where("id is not null and size(embedding) > 0")
+
+
 def fit_labels(rows: DataFrame, labels: str, most: int = 200) -> DataFrame:
     """Rows whose label is shorter than so many tokens."""
     return rows.where(F.size(labels) < most)

@@ -155,30 +155,34 @@ _VOWELS = "aeouàèéíòóúïüAEOUÀÈÉÍÒÓÚÏÜ"
 _NEAR = "['u', 'ú', 'o', 'ó', 'U', 'Ú', 'O', 'Ó']"
 _FREE = f"not coalesce(list_contains({_NEAR}, c[i - 1]), false) and not coalesce(list_contains({_NEAR}, c[i + 1]), false)"
 #: Of words in small and large letters only those that a capital sharp s makes occur in the tables: SS and a small letter.
-_RESPELLED = f"""r0 as (select doc_id, regexp_replace(replace(text, '·h', ''), '(^|[^\\p{{L}}])SS(\\p{{Ll}})', '\\1Ss\\2', 'g') as t, (length(text) - length(replace(text, '·h', ''))) // 2 as punt_volat_h from documents),
+_RESPELLED = f"""r0 as (select doc_id, i, regexp_replace(replace(text, '·h', ''), '(^|[^\\p{{L}}])SS(\\p{{Ll}})', '\\1Ss\\2', 'g') as t, (length(text) - length(replace(text, '·h', ''))) // 2 as punt_volat_h from source),
     r1 as (select *, replace(replace(replace(t, 'nh', 'ny'), 'NH', 'NY'), 'Nh', 'Ny') as t1, len(regexp_extract_all(t, 'nh|NH|Nh')) as nh from r0),
     r2 as (select *, replace(replace(replace(t1, 'lh', 'll'), 'LH', 'LL'), 'Lh', 'Ll') as t2, len(regexp_extract_all(t1, 'lh|LH|Lh')) as lh from r1),
     r3 as (select *, replace(replace(replace(regexp_replace(regexp_replace(t2, '([{_VOWELS}])sh', '\\1ix', 'g'), '([{_VOWELS}])SH', '\\1IX', 'g'), 'sh', 'x'), 'SH', 'X'), 'Sh', 'X') as t3, len(regexp_extract_all(t2, 'sh|SH|Sh')) as sh from r2),
     r4 as materialized (select *, string_split(t3, '') as c from r3),
     r5 as (select *, list_transform(range(1, len(c) + 1), lambda i: list_contains(['o', 'ó', 'O', 'Ó'], c[i]) and {_FREE}) as hit from r4),
-    respelled as (select doc_id, array_to_string(list_transform(range(1, len(c) + 1), lambda i: case when hit[i] then translate(c[i], 'oóOÓ', 'uúUÚ') else c[i] end), '') as text, lh, nh, sh, punt_volat_h,
+    respelled as (select doc_id, i, array_to_string(list_transform(range(1, len(c) + 1), lambda i: case when hit[i] then translate(c[i], 'oóOÓ', 'uúUÚ') else c[i] end), '') as text, lh, nh, sh, punt_volat_h,
       len(list_filter(hit, lambda h: h)) as o_a_u, len(list_filter(c, lambda x: list_contains(['o', 'ó', 'O', 'Ó'], x))) - len(list_filter(hit, lambda h: h)) as ou_sense_tocar from r5)"""
 _RULES = "lh nh o_a_u ou_sense_tocar punt_volat_h sh".split()
 
 
-@query(f"with {_RESPELLED} select doc_id, text, '{{' || array_to_string(list_filter([{', '.join(f"case when {r} > 0 then '{chr(34)}{r}{chr(34)}:' || {r} end" for r in _RULES)}], lambda x: x is not null), ',') || '}}' as rules from respelled")
+_WHOLE = "source as (select doc_id, 0 as i, text from documents)"
+_TOKENS = r"source as (select doc_id, unnest(t) as text, generate_subscripts(t, 1) as i from (select doc_id, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') as t from documents))"
+
+
+@query(f"with {_WHOLE}, {_RESPELLED} select doc_id, text, '{{' || array_to_string(list_filter([{', '.join(f"case when {r} > 0 then '{chr(34)}{r}{chr(34)}:' || {r} end" for r in _RULES)}], lambda x: x is not null), ',') || '}}' as rules from respelled")
 def respell(spark: SparkSession, sf: str) -> DataFrame:
     done = rewriting.respell_counted(docs(spark, sf).select("doc_id", "text"), "text")
     return done.select("doc_id", F.col("respelled").alias("text"), F.to_json(F.map_from_entries(F.array_sort(F.map_entries("rules")))).alias("rules"))
 
 
-@query(f"with {_RESPELLED} select rule, sum(n)::bigint as n from ({' union all '.join(f"select '{r}' as rule, {r} as n from respelled" for r in _RULES)}) where n > 0 group by rule")
+@query(f"with {_WHOLE}, {_RESPELLED} select rule, sum(n)::bigint as n from ({' union all '.join(f"select '{r}' as rule, {r} as n from respelled" for r in _RULES)}) where n > 0 group by rule")
 def rule_totals(spark: SparkSession, sf: str) -> DataFrame:
     done = rewriting.respell_counted(docs(spark, sf).select("text"), "text").select(F.explode("rules").alias("rule", "n"))
     return done.groupBy("rule").agg(F.sum("n").alias("n"))
 
 
-@query()
+@query(f"with {_TOKENS}, {_RESPELLED} select doc_id, coalesce(string_agg(case when s.text in ('The', 'shore', 'Don') then s.text else r.text end, '' order by i), '') as text from source s join respelled r using (doc_id, i) group by doc_id")
 def protected_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     keep = {"The": "The", "shore": "shore", "Don": "Don"}
     return docs(spark, sf).select("doc_id", rewriting.protected_respell("text", keep).alias("text"))

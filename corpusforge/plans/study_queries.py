@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusforge.functions import boundary
 from corpusforge.operators import gates, prefix, records, study, verification
 from corpusforge.plans.base import LINES, dedup, docs, lines, query, seconds
 from corpusforge.session import shared_dir, table
@@ -200,3 +201,29 @@ def vote_and_length_gate(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").withColumns({"up": F.when(F.col("user_id") % 11 == 0, 1).otherwise(3), "down": F.lit(2)})
     reason = gates.first_reason([("massa llarg", F.col("value") > 150), ("vots", F.col("down") > F.col("up"))])
     return e.withColumn("verdict", reason).where("verdict is not null").groupBy("event_type", "verdict").agg(F.count("*").alias("n"))
+
+
+@query("select vec_id::varchar as id, 'l' || label as source, len(embedding) as size from embeddings where vec_id % 3 <> 0")
+def known_speakers(spark: SparkSession, sf: str) -> DataFrame:
+    """A manifest of voices, a third of them without an embedding, and beside it one that isn't there."""
+    import uuid
+
+    path = f"{shared_dir(spark)}/bank-{uuid.uuid4().hex}"
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("id"), F.concat(F.lit("l"), F.col("label").cast("string")).alias("source"), F.when(F.col("vec_id") % 3 != 0, F.col("embedding").cast("array<double>")).alias("embedding"))
+    e.write.json(path)
+    found = study.known_speakers(spark, path).unionByName(study.known_speakers(spark, f"{path}-none"))
+    return found.select("id", "source", F.size("embedding").cast("long").alias("size"))
+
+
+@query("select n_nationkey, n_regionkey from nation where n_regionkey not in (select n_regionkey from nation where n_name like '%3')")
+def voices_without_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """A call fails for some names; halving finds them, and their whole regions are left out."""
+    n = table(spark, sf, "nation")
+
+    def call(texts: list[str]) -> list[str]:
+        if any(t.endswith("3") for t in texts):
+            raise ValueError("out of memory")
+        return texts
+
+    answers = boundary.ask(n, "n_nationkey", "n_name", call)
+    return boundary.without_failing(n, answers, "n_nationkey", "n_regionkey").select("n_nationkey", "n_regionkey")
