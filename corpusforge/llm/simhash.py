@@ -297,13 +297,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(by_print, "fp").select("doc_id", "doc_hash", hexed, "component_root", "component_id")
 
 
-def keep_least(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all their columns, of which each component (rows of found) keeps one: its smallest doc_id.
+def keep_chosen(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all their columns, that chosen names (__sh_component: an id, __sh_least: a text's hash), one each.
 
-    Where rows repeat that doc_id the least text hash decides, and of equal texts one row stays. Rows with a null
-    doc_id are kept: they can't be told apart.
+    Of equal rows one stays. Rows with a null id are kept: they can't be told apart.
     """
-    chosen = found.where("doc_id = component_id").groupBy("component_root", F.col("component_id").alias("__sh_component")).agg(F.min("doc_hash").alias("__sh_least"))
     marked = docs.withColumns({"__sh_id": F.col(id_col).cast("long"), "__sh_hash": F.xxhash64(text_col)})
     stays = (F.col("__sh_id") == F.col("__sh_component")) & (F.col("__sh_hash") == F.col("__sh_least"))
     kept = marked.join(chosen, stays, "left_semi").dropDuplicates(["__sh_id", "__sh_hash"]).select(*docs.columns)
@@ -311,5 +309,7 @@ def keep_least(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_c
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 3, max_distance: int = 3) -> DataFrame:
-    """The rows of docs that keep_least keeps of the components of simhash_components."""
-    return keep_least(docs, simhash_components(docs, id_col, text_col, ngram, max_distance), id_col, text_col)
+    """The rows of docs of which each component keeps one: its smallest doc_id, where rows repeat that the least text hash."""
+    found = simhash_components(docs, id_col, text_col, ngram, max_distance)
+    chosen = found.where("doc_id = component_id").groupBy("component_root", F.col("component_id").alias("__sh_component")).agg(F.min("doc_hash").alias("__sh_least"))
+    return keep_chosen(docs, chosen, id_col, text_col)

@@ -104,7 +104,7 @@ def test_edges(spark):
     df = frame(spark, clash, "doc_id long, text string, node string, d int, tile int")
     got = sorted(((r["doc_id"], r["component_id"]) for r in wide_simhash.near_components(df).collect()), key=repr)
     assert got == sorted([(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (None, 6), (7, 7), (7, 7), (None, None)], key=repr)
-    kept = simhash.keep_least(df, wide_simhash.near_components(df))
+    kept = wide_simhash.near_dedup(df)
     assert kept.columns == df.columns and sorted((r[0] for r in kept.collect()), key=repr) == sorted([1, 4, 6, 7, None, None], key=repr)
     assert wide_simhash.near_components(frame(spark, [])).count() == 0
 
