@@ -118,7 +118,59 @@ def dialect_score(spark: SparkSession, sf: str) -> DataFrame:
     return lines(spark, sf).select("doc_id", "pos", strong.alias("strong"), other.alias("other")).withColumn("score", F.when(F.col("other") > 0, 0).otherwise(F.col("strong")))
 
 
-@query()
+_EDGE_BEFORE, _EDGE_AFTER = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
+_PAGES, _TENS = "|".join(gates.PAGE_NUMBERS), "|".join(w for w in gates.PAGE_NUMBERS if w != "un")
+
+
+def _list(names) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in names) + "]"
+
+
+def _has(pattern: str, x: str = "t") -> str:
+    return f"regexp_matches({x}, '" + pattern.replace("'", "''") + "')"
+
+
+#: The quality gate in SQL: (label, condition) in the gate's order; look-arounds become the characters that they look at.
+_GATE = (
+    ("'marca de llista'", _has(gates.LIST_MARK)),
+    ("'caracter fora de l''alfabet (' || array_to_string(odd[1:4], '') || ')'", "len(odd) > 0"),
+    ("'xifres'", _has("[0-9]")),
+    ("'inicial en minuscula'", _has(r"^\p{Ll}")),
+    ("'sense puntuacio final'", "not " + _has(r"""[.!?]["»)\]']*$""")),
+    ("'acaba en abreviatura'", _has(_EDGE_BEFORE + r"[A-ZÀ-ÜÇ]\.$") + " or " + _has("(?i)" + _EDGE_BEFORE + r"(sr|sra|srs|etc|eca|núm|p|pag|pàg|fig|dr|dra|sta|ibid)\.$")),
+    ("'capcalera de pagina'", _has("(?i)" + _EDGE_BEFORE + rf"p\.\s+({_PAGES})" + _EDGE_AFTER)),
+    ("'parentesis mal niuats'", "len(depth) > 0 and (list_min(depth) < 0 or depth[-1] <> 0)"),
+    ("'consonants impossibles'", _has(gates.CONSONANTS)),
+    ("'consonant solta (mot partit)'", _has(r"(^|[^\p{L}\p{N}_'’(])[bcdfghjklmnpqrstvwxzç][^\p{L}\p{N}_'’.)]")),
+    ("'tot en majuscules'", r"n >= 5 and len(list_filter(regexp_extract_all(t, '[^\s]+'), lambda w: length(w) > 1 and regexp_matches(w, '\p{Lu}') and not regexp_matches(w, '\p{Ll}'))) * 10 >= n * 6"),
+    ("'punt sense espai (web, nota al peu, frases enganxades)'", _has(gates.POINT_INSIDE)),
+    ("'etiqueta de camp (Mot: Text)'", _has(gates.FIELD_LABEL) + " and not " + _has(rf"^(?:{'|'.join(gates.SPOKEN)})\s*:")),
+    ("'inicial en minuscula (dins de cometes)'", _has(r"""^["«'][^\p{L}]*\p{Ll}""")),
+    ("'truncada (acaba en preposicio o conjuncio)'", f"list_contains({_list(gates.TRUNCATED)}, reverse(regexp_extract(reverse(low), '^[^\\p{{L}}]*([\\p{{L}}]+(?:''[\\p{{L}}]+)?)', 1)))"),
+    ("'apostrof perdut'", _has(r"(^|[^\p{L}\p{N}_'’])(d|l|qu|s)\s+[aeiouàèéíòóú]", "low")),
+    ("'cometes desaparellades'", "(length(t) - length(replace(t, '\"', ''))) % 2 = 1"),
+    ("'parentesis desaparellats'", "length(replace(t, '(', '')) <> length(replace(t, ')', ''))"),
+    ("'enumeracio (' || commas || ' comes en ' || n || ' mots, ' || named || '/' || len(elements) || ' elements propis o numerals)'", "commas >= 4 and commas / greatest(n, 1) > 0.23 and len(elements) >= 5 and named * 10 >= len(elements) * 6"),
+    ("'puntuacio repetida'", "regexp_matches(replace(t, '...', ''), '[.,;:!?]{2,}')"),
+    ("'apostrof solt'", _has(gates.LOOSE_APOSTROPHE)),
+    ("'text duplicat'", "(len(w) > 8 and len(list_distinct(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' ')))) < len(w) - 7) or coalesce(list_max(map_values(list_histogram(content))), 0) >= 4"),
+    ("'mot sense vocals'", _has(r"(^|[^\p{L}\p{N}_'’\-])[bcdfghjklmnpqrstvwxz]{3,}($|[^\p{L}\p{N}_'’\-])")),
+    ("'marcador de lletres repetides'", _has(r"\b(?:" + "|".join(f"{c}{{4,}}" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ") + r")\b")),
+    ("'rang de numerals enganxat'", _has("(?i)" + _EDGE_BEFORE + rf"[a-zà-ú]+-(?:mil|cents?|milions?|{'|'.join(gates.TENS_JOINED)})" + _EDGE_AFTER)),
+    ("'rang de percentatges enganxat'", "contains(t, 'per cent-')"),
+    ("'milers separats per espai mal expandits'", _has(_EDGE_BEFORE + rf"(?:un|{_TENS}|cents|milions?)(?:-e-[a-zà-ú]+)? zero" + _EDGE_AFTER)),
+)
+_ALLOWED = (gates.ALPHABET + gates.ALPHABET.replace("ß", "").upper() + gates.MARKS).replace("'", "''")
+
+
+@query(
+    rf"""with {LINES}, a as (select doc_id, pos, text as t, lower(text) as low, len(regexp_extract_all(text, '[^\s]+')) as n, length(text) - length(replace(text, ',', '')) as commas, regexp_replace(text, '[^()]', '', 'g') as marks from line),
+    b as materialized (select *, {words('low')} as w, list_sort(list_distinct(list_filter(string_split(t, ''), lambda c: not contains('{_ALLOWED}', c)))) as odd, list_filter(string_split(t, ','), lambda e: trim(e) <> '') as elements,
+      list_transform(range(1, length(marks) + 1), lambda i: 2 * length(replace(substr(marks, 1, i), ')', '')) - i) as depth from a),
+    c as materialized (select *, list_filter(w, lambda x: length(x) >= 6 and not list_contains({_list((*gates.FUNCTION_WORDS, *gates.NUMERALS))}, x)) as content,
+      len(list_filter(elements, lambda e: regexp_matches(trim(e), '^\p{{Lu}}') or list_contains({_list(gates.NUMERALS)}, lower(split_part(trim(e), ' ', 1))))) as named from b)
+    select doc_id, pos, case {' '.join(f'when {c} then {label}' for label, c in _GATE)} end as reason from c"""
+)
 def quality_gate_reasons(spark: SparkSession, sf: str) -> DataFrame:
     return lines(spark, sf).select("doc_id", "pos", gates.quality_reason("text").alias("reason"))
 
