@@ -141,7 +141,7 @@ _GATE = (
     ("'capcalera de pagina'", _has("(?i)" + _EDGE_BEFORE + rf"p\.\s+({_PAGES})" + _EDGE_AFTER)),
     ("'parentesis mal niuats'", "len(depth) > 0 and (list_min(depth) < 0 or depth[-1] <> 0)"),
     ("'consonants impossibles'", _has(gates.CONSONANTS)),
-    ("'consonant solta (mot partit)'", _has(r"(^|[^\p{L}\p{N}_'’(])[bcdfghjklmnpqrstvwxzç][^\p{L}\p{N}_'’.)]")),
+    ("'consonant solta (mot partit)'", _has(r"(^|[^\p{L}\p{N}_'’(])[bcdfghjklmnpqrstvwxzç][^\p{L}\p{N}_'’.)]", "spelt")),
     ("'tot en majuscules'", r"n >= 5 and len(list_filter(regexp_extract_all(t, '[^\s]+'), lambda w: length(w) > 1 and regexp_matches(w, '\p{Lu}') and not regexp_matches(w, '\p{Ll}'))) * 10 >= n * 6"),
     ("'punt sense espai (web, nota al peu, frases enganxades)'", _has(gates.POINT_INSIDE)),
     ("'etiqueta de camp (Mot: Text)'", _has(gates.FIELD_LABEL) + " and not " + _has(rf"^(?:{'|'.join(gates.SPOKEN)})\s*:")),
@@ -165,7 +165,7 @@ _ALLOWED = (gates.ALPHABET + gates.ALPHABET.replace("ß", "").upper() + gates.MA
 
 @query(
     rf"""with {LINES}, a as (select doc_id, pos, text as t, lower(text) as low, len(regexp_extract_all(text, '[^\s]+')) as n, length(text) - length(replace(text, ',', '')) as commas, regexp_replace(text, '[^()]', '', 'g') as marks from line),
-    b as materialized (select *, {words('low')} as w, list_sort(list_distinct(list_filter(string_split(t, ''), lambda c: not contains('{_ALLOWED}', c)))) as odd, list_filter(string_split(t, ','), lambda e: trim(e) <> '') as elements,
+    b as materialized (select *, regexp_replace(t, '(^|[^\p{{L}}\p{{N}}_])(ll?etr).{{0,28}}', '\1\2x', 'g') as spelt, {words('low')} as w, list_sort(list_distinct(list_filter(string_split(t, ''), lambda c: not contains('{_ALLOWED}', c)))) as odd, list_filter(string_split(t, ','), lambda e: trim(e) <> '') as elements,
       list_transform(range(1, length(marks) + 1), lambda i: 2 * length(replace(substr(marks, 1, i), ')', '')) - i) as depth from a),
     c as materialized (select *, list_filter(w, lambda x: length(x) >= 6 and not list_contains({_list((*gates.FUNCTION_WORDS, *gates.NUMERALS))}, x)) as content,
       len(list_filter(elements, lambda e: regexp_matches(trim(e), '^\p{{Lu}}') or list_contains({_list(gates.NUMERALS)}, lower(split_part(trim(e), ' ', 1))))) as named from b)
