@@ -10,22 +10,22 @@ from corpusforge.session import materialize
 
 
 def _dealt(rows: DataFrame, order: list[Column | str]) -> tuple[DataFrame, list[str]]:
-    """rows with their keys _o0 ... and the range (_part) of the order that each lies in.
+    """rows with their keys __ord0 ... and the range (__part) of the order that each lies in.
 
     They are written first: sampled ranges may differ from one evaluation to the next.
     """
-    names = [f"_o{i}" for i in range(len(order))]
+    names = [f"__ord{i}" for i in range(len(order))]
     keyed = rows.select("*", *[col(k).alias(n) for k, n in zip(order, names, strict=True)])
-    return materialize(keyed.repartitionByRange(*names).withColumn("_part", F.spark_partition_id()), "ranges"), names
+    return materialize(keyed.repartitionByRange(*names).withColumn("__part", F.spark_partition_id()), "ranges"), names
 
 
 def global_place(rows: DataFrame, order: list[Column | str], name: str = "place") -> DataFrame:
     """Adds each row's place from 0 in a total order."""
     dealt, names = _dealt(rows, order)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*names)) - 1
-    return dealt.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + inside).drop("_part", "_start", *names)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*names)) - 1
+    return dealt.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + inside).drop("__part", "__start", *names)
 
 
 def running(rows: DataFrame, value: Column | str, group: list[str], order: list[Column | str], name: str = "running") -> DataFrame:
@@ -36,13 +36,13 @@ def running(rows: DataFrame, value: Column | str, group: list[str], order: list[
     """
     dealt, names = _dealt(rows.withColumn("__value", col(value)), [*group, *order])
     mine = names[: len(group)]
-    sums = dealt.groupBy("_part", *mine).agg(F.sum("__value").alias("__sum"))
-    before = Window.partitionBy(*mine).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(F.col("_part").alias("__p"), *[F.col(n).alias(f"__g{k}") for k, n in enumerate(mine)], F.sum("__sum").over(before).alias("__start"))
+    sums = dealt.groupBy("__part", *mine).agg(F.sum("__value").alias("__sum"))
+    before = Window.partitionBy(*mine).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(F.col("__part").alias("__p"), *[F.col(n).alias(f"__g{k}") for k, n in enumerate(mine)], F.sum("__sum").over(before).alias("__start"))
     # a group's first range has nothing before it, so only groups that go on are joined
     starts = starts.where("__start is not null")
-    inside = F.sum("__value").over(Window.partitionBy("_part", *mine).orderBy(*names[len(group) :]).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    same = F.col("_part") == F.col("__p")
+    inside = F.sum("__value").over(Window.partitionBy("__part", *mine).orderBy(*names[len(group) :]).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    same = F.col("__part") == F.col("__p")
     for k, n in enumerate(mine):
         same = same & F.col(n).eqNullSafe(F.col(f"__g{k}"))
     summed = dealt.withColumn("__in", inside).join(starts, same, "left")
