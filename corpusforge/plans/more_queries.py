@@ -178,7 +178,7 @@ def respell(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {_WHOLE}, {_RESPELLED} select rule, sum(n)::bigint as n from ({' union all '.join(f"select '{r}' as rule, {r} as n from respelled" for r in _RULES)}) where n > 0 group by rule")
 def rule_totals(spark: SparkSession, sf: str) -> DataFrame:
-    done = rewriting.respell_counted(docs(spark, sf).select("text"), "text").select(F.explode("rules").alias("rule", "n"))
+    done = rewriting.respell_counted(docs(spark, sf).select("text"), "text").select(F.explode_outer("rules").alias("rule", "n")).where("rule is not null")  # outer, or the rules are taken twice
     return done.groupBy("rule").agg(F.sum("n").alias("n"))
 
 
