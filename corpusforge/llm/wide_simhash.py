@@ -11,6 +11,13 @@ what they connect isn't compared again in the others, so a large group of copies
 
 Anchors and comparison are laid out as in corpusforge.llm.simhash: copies count once, dense anchors give a spanning
 forest of their links, and anchors beyond a block are dealt again in pairs of blocks.
+
+Fingerprints find most links, not all, and texts of one fingerprint need not be similar. An exact step follows for what
+they leave: texts are told apart by their sets of shingles, and two sets of the similarity share a shingle among the
+first of each in any common order, as many as may be missing and one more. The order puts what is frequent in a sample
+last, which only spares comparisons. Sets that share such a shingle and aren't connected yet are held against each other
+by size, place and the parities of PARITIES counters, bounds that no pair of the similarity fails, and then by their
+shingles. Words, shingles and sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -21,7 +28,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.llm.components import connected_components
@@ -46,6 +53,12 @@ BLOCK = 40_000
 KNOWN_WORDS = 500_000
 #: Names of texts to verify that are broadcast at most, counted first; beyond that they are joined by a shuffle.
 MAX_BROADCAST = 1_000_000
+#: Counters whose parities bound the difference of two sets of shingles.
+PARITIES = 512
+#: Texts whose shingles are counted for the order of the exact step, and the number of frequent ones that it tells apart.
+SAMPLE, MAX_FREQUENT = 20_000, 200_000
+#: Rows of a shingle from which those of its commonest component aren't compared among themselves.
+MANY = 48
 LANE_NAMES = [f"l{k}" for k in range(LANES)]
 #: Multipliers of the mixing steps: odd, any others would do.
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -67,6 +80,18 @@ def nodes_of(prints: np.ndarray) -> np.ndarray:
     return out
 
 
+def set_name(shingles: np.ndarray) -> int:
+    """A 64-bit name of a set of shingles, signed; 0 of the empty one."""
+    total = _mixed(shingles + A).sum(dtype=np.uint64)
+    return int(_mixed(np.array([total + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0]) if len(shingles) else 0
+
+
+def parities(shingles: np.ndarray) -> bytes:
+    """The parities of PARITIES counters; those of two sets differ in no more places than the sets in shingles."""
+    counts = np.bincount((_mixed(shingles + B) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 class Sketcher:
     """Fingerprints of texts; remembers word hashes while they are few enough."""
 
@@ -95,21 +120,27 @@ class Sketcher:
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         """LANES words of a text's fingerprint over all its shingles, repeats included; zeros without a word."""
-        ones, total, tail = np.zeros(BITS, np.int64), 0, np.zeros(0, np.uint64)
+        return self.sketch(text)[0]
+
+    def sketch(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """A text's fingerprint and its distinct shingles, from one pass."""
+        ones, total, tail, parts = np.zeros(BITS, np.int64), 0, np.zeros(0, np.uint64), []
         for words in _pieces((text or b"").translate(LOWER)):
             tail = np.concatenate([tail, self._hashes(words)])
             if len(tail) >= self.ngram:
                 shingles = self._joined(tail, self.ngram)
                 total += len(shingles)
+                parts.append(np.unique(shingles))
                 for k in range(LANES):
                     ones[64 * k : 64 * k + 64] += _bit_counts(_mixed(shingles + STEPS[k]))
                 tail = tail[len(tail) - self.ngram + 1 :]
         if not total:
             if not len(tail):
-                return np.zeros(LANES, np.uint64)
+                return np.zeros(LANES, np.uint64), tail
             shingle = self._joined(tail, len(tail))
-            return np.concatenate([_mixed(shingle + STEPS[k]) for k in range(LANES)])
-        return np.packbits((ones * 2 > total).astype(np.uint8), bitorder="little").view(np.uint64)
+            return np.concatenate([_mixed(shingle + STEPS[k]) for k in range(LANES)]), shingle
+        found = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+        return np.packbits((ones * 2 > total).astype(np.uint8), bitorder="little").view(np.uint64), found
 
     def shingles(self, text: bytes | None) -> np.ndarray:
         """A text's distinct shingles, as hashes; of a shorter text all its words as one."""
@@ -118,17 +149,21 @@ class Sketcher:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM) -> DataFrame:
-    """Rows (doc_id, doc_hash, node, l0, ...): the text's hash, the fingerprint's name and its lanes."""
+    """Rows (doc_id, doc_hash, set, parity, node, l0, ...): the text's hash, its set of shingles, the fingerprint's name and its lanes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketcher(ngram)
         for batch in batches:
-            out = np.stack([sketch(x.as_py()) for x in batch.column(2)]) if batch.num_rows else np.zeros((0, LANES), np.uint64)
+            out, sets, parity = np.zeros((batch.num_rows, LANES), np.uint64), [], []
+            for k, x in enumerate(batch.column(2)):
+                out[k], shingles = sketch.sketch(x.as_py())
+                sets.append(set_name(shingles))
+                parity.append(parities(shingles))
             columns = [pa.array(nodes_of(out).view(np.int64)), *(pa.array(np.ascontiguousarray(out[:, k]).view(np.int64)) for k in range(LANES))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "doc_hash", "node", *LANE_NAMES])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.int64()), pa.array(parity, pa.binary()), *columns], ["doc_id", "doc_hash", "set", "parity", "node", *LANE_NAMES])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("doc_hash"), F.col(text_col).cast("binary").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, doc_hash long, node long, " + ", ".join(f"{n} long" for n in LANE_NAMES))
+    return slim.mapInArrow(run, "doc_id long, doc_hash long, set long, parity binary, node long, " + ", ".join(f"{n} long" for n in LANE_NAMES))
 
 
 class Anchors:
@@ -292,53 +327,204 @@ def links(prints: DataFrame, views: slice = slice(None), limit: int = LIMIT, blo
 
 
 def _shingles(docs: DataFrame, prints: DataFrame, found: DataFrame, id_col: str, text_col: str, ngram: int) -> DataFrame:
-    """Rows (node, shingles) of one text for each fingerprint that has a candidate."""
+    """Rows (set, shingles) of each set that has a candidate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketcher(ngram)
         for batch in batches:
             each = [sketch.shingles(x.as_py()).view(np.int64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each, pa.list_(pa.int64()))], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each, pa.list_(pa.int64()))], ["set", "shingles"])
 
-    ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
+    ends = found.select(F.col("a").alias("set")).unionByName(found.select(F.col("b").alias("set"))).distinct()
     # copies are counted together before the join, which would send them all to one task
-    chosen = materialize(prints.groupBy("node").agg(F.min("doc_hash").alias("__hash")).join(ends, "node", "left_semi"), "chosen")
+    chosen = materialize(prints.groupBy("set").agg(F.min("doc_hash").alias("__hash")).join(ends, "set", "left_semi"), "chosen")
     few = chosen.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
     texts = docs.select(F.xxhash64(text_col).alias("__hash"), F.col(text_col).cast("binary").alias("__text"))
-    texts = texts.join(F.broadcast(chosen) if few else chosen, "__hash").select("node", "__text").dropDuplicates(["node"])
-    return materialize(texts.mapInArrow(run, "node long, shingles array<long>"), "shingles")
+    texts = texts.join(F.broadcast(chosen) if few else chosen, "__hash").select("set", "__text").dropDuplicates(["set"])
+    return materialize(texts.mapInArrow(run, "set long, shingles array<long>"), "shingles")
 
 
 def _similar(pairs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose shingles have at least the similarity, in per cent."""
-    side = lambda end, name: shingles.select(F.col("node").alias(end), F.col("shingles").alias(name))
+    side = lambda end, name: shingles.select(F.col("set").alias(end), F.col("shingles").alias(name))
     both = pairs.join(side("b", "sb"), "b").join(side("a", "sa"), "a")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def _frequent(docs: DataFrame, n_sets: int, text_col: str, ngram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several texts of a sample hold, sorted, and in how many; it bears on the speed of the exact step alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch, seen = Sketcher(ngram), set()
+        for batch in batches:
+            for x in batch.column(0):
+                shingles = sketch.shingles(x.as_py())
+                if (name := set_name(shingles)) not in seen:
+                    seen.add(name)
+                    yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64))], ["key"])
+
+    every = max(1, -(-n_sets // SAMPLE))
+    some = docs.where(F.expr(f"pmod(xxhash64(`{text_col}`), {every}) = 0")).select(F.col(text_col).cast("binary").alias("__text"))
+    counts = materialize(some.mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 2"), "frequent")
+    least, total = 3, 0
+    for n, keys in sorted(counts.groupBy("n").count().collect(), reverse=True):
+        total += keys
+        if total > MAX_FREQUENT:
+            least = n + 1
+            break
+    rows = counts.where(F.col("n") >= least).toArrow()
+    discard(counts)
+    keys, n = rows["key"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
+def _first_shingles(frequent: tuple[np.ndarray, np.ndarray], ngram: int, percent: int):
+    """Over texts: rows (key, set, place), the shingles of which a set of the similarity has one; place is the size and the rank."""
+    keys, counts = frequent
+
+    def first(shingles: np.ndarray) -> np.ndarray:
+        n = len(shingles) - -(-percent * len(shingles) // 100) + 1
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+            weight = np.where(keys[at] == shingles, counts[at], 0)
+            return shingles[np.argsort(weight, kind="stable")[:n]]
+        return shingles[:n]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch, seen = Sketcher(ngram), set()
+        for batch in batches:
+            for x in batch.column(0):
+                shingles = sketch.shingles(x.as_py())
+                name = set_name(shingles)
+                if name in seen or not len(shingles):
+                    continue
+                if len(seen) > KNOWN_WORDS:
+                    seen.clear()
+                seen.add(name)
+                out = first(shingles).view(np.int64)
+                place = np.int64(len(shingles) << 32) | np.arange(len(out), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(np.full(len(out), name, np.int64)), pa.array(place)], ["key", "set", "place"])
+
+    return run
+
+
+def _candidates(percent: int):
+    """Over rows (tile, place, set, root, parity) sorted by tile and place: pairs (a, b) of sets of a tile that may have the similarity."""
+
+    def fits(size: np.ndarray, rank: np.ndarray, parity: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Of the places x, y those whose common shingles, this one the first, can be as many as the similarity takes."""
+        both = size[x] + size[y]
+        common = -(-percent * both // (100 + percent))
+        ok = np.flatnonzero(np.minimum(size[x] - rank[x], size[y] - rank[y]) >= common)
+        some_x, some_y = (np.broadcast_to(z, both.shape)[ok] for z in (x, y))
+        differ = np.bitwise_count(parity[some_x] ^ parity[some_y]).sum(axis=-1, dtype=np.int64)
+        return ok[differ <= both[ok] - 2 * common[ok]]
+
+    def small(tile, size, rank, root, parity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        at, shift = np.arange(len(tile)), 0
+        while len(at):
+            shift += 1
+            at = at[at + shift < len(tile)]
+            at = at[(tile[at] == tile[at + shift]) & (percent * size[at + shift] <= 100 * size[at])]
+            hit = at[root[at] != root[at + shift]]
+            hit = hit[fits(size, rank, parity, hit, hit + shift)]
+            yield hit, hit + shift
+
+    def large(size, rank, root, parity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        names, inverse, counts = np.unique(root, return_inverse=True, return_counts=True)
+        for x in np.flatnonzero(inverse != counts.argmax()):
+            low, high = np.searchsorted(size, -(-percent * size[x] // 100)), np.searchsorted(size, 100 * size[x] // percent, side="right")
+            y = low + np.flatnonzero(root[low:high] != root[x])
+            y = y[fits(size, rank, parity, np.int64(x), y)]
+            yield np.full(len(y), x), y
+
+    def whole(tile, place, name, root, parity) -> Iterator[pa.RecordBatch]:
+        size, rank = place >> 32, place & 0xFFFFFFFF
+        edges = np.flatnonzero(np.diff(tile)) + 1
+        starts, sizes = np.concatenate(([0], edges)), np.diff(np.concatenate(([0], edges, [len(tile)])))
+        big = sizes > MANY
+        few = np.flatnonzero(np.repeat(~big, sizes))
+        found = [(few[x], few[y]) for x, y in small(tile[few], size[few], rank[few], root[few], parity[few])]
+        for s, n in zip(starts[big].tolist(), sizes[big].tolist(), strict=True):
+            part = slice(s, s + n)
+            found += [(s + x, s + y) for x, y in large(size[part], rank[part], root[part], parity[part]) if len(x)]
+        none = np.zeros(0, np.int64)
+        a, b = (name[np.concatenate([none, *x])] for x in (zip(*found, strict=True) if found else ((), ())))
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            rows.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(batch.num_rows, -1))
+            if held:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            if cut:
+                yield from whole(*(x[:cut] for x in rows))
+            held = [x[cut:] for x in rows]
+        if held:
+            yield from whole(*held)
+
+    return run
+
+
+def remaining_links(docs: DataFrame, prints: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """Rows (a, b): all links between sets of shingles that the links of good don't connect already."""
+    sets = prints.groupBy("set").agg(F.min("parity").alias("parity"))
+    sets = materialize(sets.join(connected_components(good).withColumnRenamed("node", "set"), "set", "left").select("set", F.coalesce("root", "set").alias("root"), "parity"), "sets")
+    frequent = _frequent(docs, sets.count(), text_col, ngram)
+    texts = docs.select(F.col(text_col).cast("binary").alias("__text"))
+    rows = texts.mapInArrow(_first_shingles(frequent, ngram, percent), "key long, set long, place long")
+    by_key = Window.partitionBy("key")
+    met = rows.withColumns({"low": F.min("set").over(by_key), "high": F.max("set").over(by_key)}).where("low < high")
+    shared = materialize(met.select("key", "set", "place").distinct(), "shared")
+    apart = shared.join(sets, "set").withColumns({"low": F.min("root").over(by_key), "high": F.max("root").over(by_key), "n": F.count("*").over(by_key)}).where("low < high")
+    # a shingle's rows beyond a block are dealt in pairs of blocks
+    dealt = apart.withColumn("parts", F.when(F.col("n") > BLOCK, F.ceil(F.col("n") * 2 / F.lit(BLOCK))).otherwise(1).cast("int"))
+    dealt = dealt.withColumn("mine", F.expr("cast(pmod(xxhash64(set), parts) as int)")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    tiles = dealt.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("tile"), "place", "set", "root", "parity")
+    pairs = tiles.repartition("tile").sortWithinPartitions("tile", "place").mapInArrow(_candidates(percent), "a long, b long")
+    found = materialize(pairs.distinct(), "found")
+    discard(shared)
+    shingles = _shingles(docs, prints, found, id_col, text_col, ngram)
+    out = materialize(_similar(found, shingles, percent), "good")
+    for done in (sets, found, shingles):
+        discard(done)
+    return out
+
+
 def verified_links(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, limit: int = LIMIT, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """Rows (a, b): links between fingerprints whose similarity is verified, enough of them for the components."""
-    good, named = [], prints.select("node", *LANE_NAMES).distinct()
+    """Rows (a, b): links between sets of shingles whose similarity is verified, all that the components need."""
+    good = None
+    # one set stands for a fingerprint; the exact step sees to the others
+    named = materialize(prints.groupBy("node", *LANE_NAMES).agg(F.min("set").alias("set")), "named")
+    end = lambda name: named.select(F.col("node").alias(name), F.col("set").alias(f"set_{name}"))
     for views in (slice(FIRST_VIEWS), slice(FIRST_VIEWS, None)):
-        rooted = named.withColumn("root", F.col("node"))
+        rooted = named.withColumn("root", F.col("set"))
         if good:
-            rooted = named.join(connected_components(good[0]), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        found = materialize(links(rooted, views, limit, BLOCK), "found")
+            rooted = named.join(connected_components(good).withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+        met = links(rooted, views, limit, BLOCK).join(end("a"), "a").join(end("b"), "b").where("set_a <> set_b")
+        found = materialize(met.select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b")).distinct(), "found")
         shingles = _shingles(docs, prints, found, id_col, text_col, ngram)
-        good.append(materialize(_similar(found, shingles, percent), "good"))
+        more = materialize(_similar(found, shingles, percent), "good")
+        good = good.unionByName(more) if good else more
         discard(found)
         discard(shingles)
-    return good[0].unionByName(good[1])
+    return good.unionByName(remaining_links(docs, prints, good, id_col, text_col, ngram, percent))
 
 
 def _rooted(docs: DataFrame, id_col: str, text_col: str, ngram: int, limit: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """All fingerprints, and rows (node, root, first): each different one's component and its least (doc_id, doc_hash) with an id."""
+    """All fingerprints, and rows (set, root, first): each different set's component and its least (doc_id, doc_hash) with an id."""
     prints = materialize(with_fingerprints(docs, id_col, text_col, ngram), "prints")
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "doc_hash")))
-    classes = materialize(prints.groupBy("node").agg(first.alias("first")), "classes")
-    roots = connected_components(verified_links(docs, prints, id_col, text_col, ngram, limit, percent))
-    return prints, classes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
+    classes = materialize(prints.groupBy("set").agg(first.alias("first")), "classes")
+    roots = connected_components(verified_links(docs, prints, id_col, text_col, ngram, limit, percent)).withColumnRenamed("node", "set")
+    return prints, classes.join(roots, "set", "left").select("set", F.coalesce("root", "set").alias("root"), "first")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, limit: int = LIMIT, percent: int = SIMILAR_PERCENT) -> DataFrame:
@@ -351,14 +537,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints, rooted = _rooted(docs, id_col, text_col, ngram, limit, percent)
     least = rooted.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
-    by_print = rooted.join(least, "root").select("node", F.col("root").alias("component_root"), "component_id")
-    return prints.join(by_print, "node").select("doc_id", "doc_hash", "component_root", "component_id")
+    by_set = rooted.join(least, "root").select("set", F.col("root").alias("component_root"), "component_id")
+    return prints.join(by_set, "set").select("doc_id", "doc_hash", "component_root", "component_id")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, limit: int = LIMIT, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """The rows of docs, all their columns, of which each component keeps one: its smallest doc_id, where rows repeat that the least text hash.
 
-    Winners come from the different fingerprints alone, so copies in any number are no burden of one task. Rows with a
+    Winners come from the different sets of shingles alone, so copies in any number are no burden of one task. Rows with a
     null doc_id are kept: they can't be told apart.
     """
     rooted = _rooted(docs, id_col, text_col, ngram, limit, percent)[1]

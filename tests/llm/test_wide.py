@@ -124,3 +124,33 @@ def test_anchor_is_the_nearest():
     keys = find(prints)
     assert keys.shape == (200, find.n_views) and (keys >> 20 == np.arange(find.n_views)).all()
     assert sorted(np.bincount(find.hamming, minlength=16).tolist()) == [8] * 16
+
+
+def test_no_link_is_left_out(spark):
+    """Pairs at the threshold, whose fingerprints often differ in too many bits: every group is the exact one."""
+    rows = copies([2] * 200 + [3] * 40, 8, seed=11)
+    exact = jaccard_groups(rows)
+    got = {r["doc_id"]: r["component_id"] for r in wide_simhash.near_components(frame(spark, rows)).collect()}
+    assert sum(i != c for (i, _), c in zip(rows, exact, strict=True)) > 150
+    assert [got[i] for i, _ in rows] == exact
+
+
+def test_equal_fingerprints_of_different_texts(spark):
+    """A word repeated more often than all else makes fingerprints equal; links are told by the shingles all the same."""
+    rows = [(i, "same " * 1000 + t) for i, t in copies([1] * 20 + [2] * 20, 4, seed=12)]
+    prints = wide_simhash.with_fingerprints(frame(spark, rows))
+    assert prints.select("node").distinct().count() == 1
+    got = {r["doc_id"]: r["component_id"] for r in wide_simhash.near_components(frame(spark, rows)).collect()}
+    assert [got[i] for i, _ in rows] == jaccard_groups(rows)
+
+
+@pytest.mark.parametrize(("block", "sample"), [(40_000, 20_000), (60, 20)])
+def test_links_beside_a_frequent_passage(spark, monkeypatch, block, sample):
+    """Many texts with one passage, some of them made of it but for a few words: in one block or in pairs of blocks, sampled in whole or not."""
+    monkeypatch.setattr(wide_simhash, "BLOCK", block)
+    monkeypatch.setattr(wide_simhash, "SAMPLE", sample)
+    passage = copies([1], 0, seed=13)[0][1]
+    rows = [(i, f"{t} {passage}") for i, t in copies([1] * 100 + [2] * 30, 14, seed=14, length=120)]
+    rows += [(1_000_000 + i, f"{passage} {t}") for i, t in copies([1] * 150, 0, seed=15, length=45)]
+    got = {r["doc_id"]: r["component_id"] for r in wide_simhash.near_components(frame(spark, rows)).collect()}
+    assert [got[i] for i, _ in rows] == jaccard_groups(rows)
