@@ -174,7 +174,8 @@ NO_END = r"(?i)(?:(?U)\b(?:" + "|".join(ABBREVIATIONS) + r")\.|(?-i:\b\p{Lu})\.)
 def sentences(x: Column | str) -> Column:
     """Sentences of a text: lines are cut at ends of sentences and joined again after abbreviations and initials."""
     lines = F.filter(F.transform(F.split(col(x), "\n"), clean), lambda line: line != "")
-    cut = F.transform(lines, lambda line: F.filter(F.transform(F.split(line, SENTENCE_END), F.trim), lambda s: s != ""))
+    # not F.trim itself, which would take the piece's place for the characters to trim
+    cut = F.transform(lines, lambda line: F.filter(F.transform(F.split(line, SENTENCE_END), lambda s: F.trim(s)), lambda s: s != ""))
     joined = F.transform(
         cut,
         lambda parts: F.aggregate(

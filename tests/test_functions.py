@@ -42,6 +42,8 @@ def test_sentences(spark):
     text = "Eth Sr. Joan venguec. Era A. Pérez tanben! «Òc?» Non\n\nAuta linha … Fin"
     assert one(spark, T.sentences("t"), t=text) == ["Eth Sr. Joan venguec.", "Era A. Pérez tanben!", "«Òc?»", "Non", "Auta linha ...", "Fin"]
     assert one(spark, T.sentences("t"), t="") == []
+    assert one(spark, T.sentences("t"), t="0a 0. Be 1") == ["0a 0.", "Be 1"]  # digits at the ends stay
+    assert one(spark, T.sentences("t"), t="Ath 100") == ["Ath 100"]
 
 
 def test_shapes(spark):
