@@ -251,3 +251,14 @@ def test_entities(spark):
     use = spark.createDataFrame([("radio", 0, 9)], "form string, upper long, lower long")
     got = {r["entity"]: (r["times"], r["reason"]) for r in entities.funnel(errors, counts, use).collect()}
     assert got == {"Lamine Yamal": (5, None), "radio": (1, "nombre_comun"), "paris": (1, "sin_evidencia"), "xyzzy": (1, "solo_omitida")}
+
+
+def test_bootstrap_broadcasts_no_draws(spark):
+    """Draws, times as many as values, look small until they are made: they must not be gathered by the driver."""
+    rows = spark.createDataFrame([("a", k, float(k % 7)) for k in range(50)] + [(None, 0, 2.0), ("b", 1, -1.0)], "g string, k long, v double")
+    out = metrics.bootstrap(rows, "g", "v", "k", 40)
+    got = {r["g"]: r for r in out.collect()}
+    assert set(got) == {"a", "b"} and got["a"]["n"] == 50 and got["a"]["low"] <= got["a"]["mean"] <= got["a"]["high"]
+    assert got["b"]["low"] == got["b"]["high"] == -1.0 and got["b"]["p_below"] == 1.0
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in plan
