@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusforge.llm import decontamination, line_dedup, mixing, quality_cnn, wide_simhash
-from corpusforge.session import delete, scratch, shared_dir, table
+from corpusforge.session import delete, scratch, shared_dir, table, write
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return stage(spark, docs, sf_dir)
         path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
         with scratch(spark):
-            stage(spark, docs, sf_dir).write.parquet(path)
+            write(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
         if before:
             delete(spark, before)

@@ -23,7 +23,7 @@ shingles. Words, shingles and sets are told apart by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +46,15 @@ SIMILAR_PERCENT = 80
 ROUNDS, SEED = 20, 23
 #: Views that come first, and alone.
 FIRST_VIEWS = 6
+#: Views whose rows are shuffled at once: a fingerprint is a row in each, and the disk holds one such shuffle at a time.
+VIEWS_AT_ONCE = 20
 GOLAY_WIDTH, HAMMING_WIDTH = 23, 7
 VIEW = GOLAY_WIDTH + 2 * HAMMING_WIDTH
 #: Rows of one anchor that a task compares at once.
 BLOCK = 40_000
 KNOWN_WORDS = 500_000
-#: Names of texts to verify that are broadcast at most, counted first; beyond that they are joined by a shuffle.
-MAX_BROADCAST = 1_000_000
+#: Names of texts to verify, and pairs of them, that are broadcast and taken at once; more are taken in rounds.
+MAX_BROADCAST, PAIRS_AT_ONCE = 1_000_000, 250_000
 #: Counters whose parities bound the difference of two sets of shingles.
 PARITIES = 512
 #: Texts whose shingles are counted for the order of the exact step, and the number of frequent ones that it tells apart.
@@ -185,14 +187,15 @@ class Anchors:
         nearest = np.where(syndrome > 0, words ^ (1 << np.maximum(syndrome - 1, 0)), words)
         self.hamming = np.unique(nearest, return_inverse=True)[1].astype(np.int64)
 
-    def __call__(self, prints: np.ndarray) -> np.ndarray:
-        """For rows of LANES words the anchors' keys, one column a view."""
+    def __call__(self, prints: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+        """For rows of LANES words the anchors' keys, one column for each view from first to before last."""
+        last = self.n_views if last is None else last
         bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")
-        words = (bits.astype(np.float32) @ self.weights).astype(np.int64).reshape(len(prints), self.n_views, 3)
+        words = (bits.astype(np.float32) @ self.weights[:, 3 * first : 3 * last]).astype(np.int64).reshape(len(prints), last - first, 3)
         g = words[:, :, 0]
         home = (g ^ self.golay.near[self.golay.syndrome(g), 0]) >> CHECK
         key = home << 8 | self.hamming[words[:, :, 1]] << 4 | self.hamming[words[:, :, 2]]
-        return key | np.arange(self.n_views, dtype=np.int64)[None] << 20
+        return key | np.arange(first, last, dtype=np.int64)[None] << 20
 
 
 @cache
@@ -296,14 +299,14 @@ def _compare(limit: int, block: int | None):
 def links(prints: DataFrame, views: slice = slice(None), limit: int = LIMIT, block: int = BLOCK) -> DataFrame:
     """Rows (a, b): names of fingerprints (columns root, l0, ...) that meet at an anchor, have different roots and differ in limit bits at most."""
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(first: int, last: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = anchors()
         for batch in batches:
             root = batch.column(0).to_numpy(zero_copy_only=False)
             fps = np.stack([c.to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns[1:]], axis=1) if batch.num_rows else np.zeros((0, LANES), np.uint64)
             for at in range(0, len(fps), 1024):
                 part = fps[at : at + 1024]
-                keys = find(part)[:, views]
+                keys = find(part, first, last)
                 rows = np.repeat(part, keys.shape[1], axis=0)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel()), pa.array(np.repeat(root[at : at + 1024], keys.shape[1])), *(pa.array(np.ascontiguousarray(rows[:, k]).view(np.int64)) for k in range(LANES))], ["tile", "root", *LANE_NAMES]
@@ -311,9 +314,15 @@ def links(prints: DataFrame, views: slice = slice(None), limit: int = LIMIT, blo
 
     columns = ["root", *LANE_NAMES]
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = prints.select(*columns).distinct().repartition(parts, *LANE_NAMES)  # not coalesced: rows multiply
-    sent = distinct.mapInArrow(send, "tile long, " + ", ".join(f"{n} long" for n in columns)).repartition("tile").sortWithinPartitions("tile")
-    first = materialize(sent.mapInArrow(_compare(limit, block), SCHEMA), "anchors")
+    distinct = materialize(prints.select(*columns).distinct().repartition(parts, *LANE_NAMES), "distinct")
+    first, (start, stop, _) = None, views.indices(anchors().n_views)
+    for at in range(start, stop, VIEWS_AT_ONCE):
+        some = partial(send, at, min(at + VIEWS_AT_ONCE, stop))
+        # not coalesced nor taken by the size of files: rows multiply
+        sent = distinct.repartition(parts, *LANE_NAMES).mapInArrow(some, "tile long, " + ", ".join(f"{n} long" for n in columns)).repartition("tile").sortWithinPartitions("tile")
+        compared = materialize(sent.mapInArrow(_compare(limit, block), SCHEMA), "anchors")
+        first = first.unionByName(compared) if first else compared
+    discard(distinct)
     found = first.where("tile is null").select("a", "b")
     late = first.where("tile is not null").select("tile", *columns)
     if late.isEmpty():
@@ -326,8 +335,8 @@ def links(prints: DataFrame, views: slice = slice(None), limit: int = LIMIT, blo
     return found.unionByName(rest.select("a", "b")).distinct()
 
 
-def _shingles(docs: DataFrame, prints: DataFrame, found: DataFrame, id_col: str, text_col: str, ngram: int) -> DataFrame:
-    """Rows (set, shingles) of each set that has a candidate."""
+def _shingles(docs: DataFrame, prints: DataFrame, found: DataFrame, id_col: str, text_col: str, ngram: int) -> list[DataFrame]:
+    """Tables (set, shingles) of the sets that have a candidate, each set in one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketcher(ngram)
@@ -338,18 +347,36 @@ def _shingles(docs: DataFrame, prints: DataFrame, found: DataFrame, id_col: str,
     ends = found.select(F.col("a").alias("set")).unionByName(found.select(F.col("b").alias("set"))).distinct()
     # copies are counted together before the join, which would send them all to one task
     chosen = materialize(prints.groupBy("set").agg(F.min("doc_hash").alias("__hash")).join(ends, "set", "left_semi"), "chosen")
-    few = chosen.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
     texts = docs.select(F.xxhash64(text_col).alias("__hash"), F.col(text_col).cast("binary").alias("__text"))
-    texts = texts.join(F.broadcast(chosen) if few else chosen, "__hash").select("set", "__text").dropDuplicates(["set"])
-    return materialize(texts.mapInArrow(run, "set long, shingles array<long>"), "shingles")
+    out = []
+    for part in _rounds(chosen, MAX_BROADCAST, "set"):
+        some = texts.join(F.broadcast(part), "__hash").select("set", "__text").dropDuplicates(["set"])
+        out.append(materialize(some.mapInArrow(run, "set long, shingles array<long>"), "shingles"))
+    discard(chosen)
+    return out
+
+
+def _rounds(rows: DataFrame, most: int, *keys: str) -> list[DataFrame]:
+    """The rows dealt by a hash of their keys, about so many or fewer in each part."""
+    n = max(1, -(-rows.count() // most))
+    return [rows.where(F.pmod(F.xxhash64(*keys), F.lit(n)) == k) for k in range(n)]
+
 
+def _similar(pairs: DataFrame, shingles: list[DataFrame], percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose shingles have at least the similarity, in per cent.
 
-def _similar(pairs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose shingles have at least the similarity, in per cent."""
-    side = lambda end, name: shingles.select(F.col("set").alias(end), F.col("shingles").alias(name))
-    both = pairs.join(side("b", "sb"), "b").join(side("a", "sa"), "a")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    Each round broadcasts its pairs, so of the shingles only theirs are shuffled, and the disk holds one round's.
+    """
+    sets, out = shingles[0], None
+    for more in shingles[1:]:
+        sets = sets.unionByName(more)
+    for part in _rounds(pairs, PAIRS_AT_ONCE, "a", "b"):
+        side = lambda end, name, part=part: sets.join(F.broadcast(part), F.col("set") == F.col(end)).select("a", "b", F.col("shingles").alias(name))
+        both = side("a", "sa").join(side("b", "sb"), ["a", "b"])
+        common = F.size(F.array_intersect("sa", "sb"))
+        good = materialize(both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "good")
+        out = out.unionByName(good) if out else good
+    return out
 
 
 def _frequent(docs: DataFrame, n_sets: int, text_col: str, ngram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -483,17 +510,20 @@ def remaining_links(docs: DataFrame, prints: DataFrame, good: DataFrame, id_col:
     by_key = Window.partitionBy("key")
     met = rows.withColumns({"low": F.min("set").over(by_key), "high": F.max("set").over(by_key)}).where("low < high")
     shared = materialize(met.select("key", "set", "place").distinct(), "shared")
-    apart = shared.join(sets, "set").withColumns({"low": F.min("root").over(by_key), "high": F.max("root").over(by_key), "n": F.count("*").over(by_key)}).where("low < high")
+    # roots alone say what is still apart; the parities, most of a row, go to no other
+    apart = shared.join(sets.select("set", "root"), "set").withColumns({"low": F.min("root").over(by_key), "high": F.max("root").over(by_key), "n": F.count("*").over(by_key)})
+    apart = materialize(apart.where("low < high").select("key", "set", "place", "root", "n"), "apart")
+    discard(shared)
     # a shingle's rows beyond a block are dealt in pairs of blocks
-    dealt = apart.withColumn("parts", F.when(F.col("n") > BLOCK, F.ceil(F.col("n") * 2 / F.lit(BLOCK))).otherwise(1).cast("int"))
+    dealt = apart.join(sets.select("set", "parity"), "set").withColumn("parts", F.when(F.col("n") > BLOCK, F.ceil(F.col("n") * 2 / F.lit(BLOCK))).otherwise(1).cast("int"))
     dealt = dealt.withColumn("mine", F.expr("cast(pmod(xxhash64(set), parts) as int)")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     tiles = dealt.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("tile"), "place", "set", "root", "parity")
     pairs = tiles.repartition("tile").sortWithinPartitions("tile", "place").mapInArrow(_candidates(percent), "a long, b long")
     found = materialize(pairs.distinct(), "found")
-    discard(shared)
+    discard(apart)
     shingles = _shingles(docs, prints, found, id_col, text_col, ngram)
-    out = materialize(_similar(found, shingles, percent), "good")
-    for done in (sets, found, shingles):
+    out = _similar(found, shingles, percent)
+    for done in (sets, found, *shingles):
         discard(done)
     return out
 
@@ -511,10 +541,10 @@ def verified_links(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", t
         met = links(rooted, views, limit, BLOCK).join(end("a"), "a").join(end("b"), "b").where("set_a <> set_b")
         found = materialize(met.select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b")).distinct(), "found")
         shingles = _shingles(docs, prints, found, id_col, text_col, ngram)
-        more = materialize(_similar(found, shingles, percent), "good")
+        more = _similar(found, shingles, percent)
         good = good.unionByName(more) if good else more
-        discard(found)
-        discard(shingles)
+        for done in (found, *shingles):
+            discard(done)
     return good.unionByName(remaining_links(docs, prints, good, id_col, text_col, ngram, percent))
 
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusforge import session
 from corpusforge.llm import components, simhash, wide_simhash
 from corpusforge.session import table
 
@@ -154,3 +155,16 @@ def test_links_beside_a_frequent_passage(spark, monkeypatch, block, sample):
     rows += [(1_000_000 + i, f"{passage} {t}") for i, t in copies([1] * 150, 0, seed=15, length=45)]
     got = {r["doc_id"]: r["component_id"] for r in wide_simhash.near_components(frame(spark, rows)).collect()}
     assert [got[i] for i, _ in rows] == jaccard_groups(rows)
+
+
+def test_rounds_and_shuffle_files(spark, monkeypatch):
+    """Views, texts and pairs taken in many rounds give the same groups, and no intermediate table leaves its shuffle files behind."""
+    for name, few in (("VIEWS_AT_ONCE", 50), ("MAX_BROADCAST", 90), ("PAIRS_AT_ONCE", 70)):
+        monkeypatch.setattr(wide_simhash, name, few)
+    rows = copies([2] * 100, 6, seed=16)
+    got = {r["doc_id"]: r["component_id"] for r in wide_simhash.near_components(frame(spark, rows)).collect()}
+    assert [got[i] for i, _ in rows] == jaccard_groups(rows)
+    files = lambda: sum(f.getName().endswith(".data") for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()))
+    before = files()
+    session.materialize(spark.range(1000).repartition(7, "id"), "many")
+    assert files() <= before and spark.conf.get(session.CLEANUP) == "false"
