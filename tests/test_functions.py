@@ -262,3 +262,15 @@ def test_bootstrap_broadcasts_no_draws(spark):
     assert got["b"]["low"] == got["b"]["high"] == -1.0 and got["b"]["p_below"] == 1.0
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ShuffledHashJoin" in plan
+
+
+def test_edits_against_the_table(spark):
+    rng = np.random.default_rng(4)
+    for n, m in [(0, 0), (0, 3), (1, 1), (64, 65), (130, 7), (70, 70)] + [tuple(rng.integers(0, 90, 2)) for _ in range(60)]:
+        a, b = ("".join(rng.choice(list("abcé😀"), k)) for k in (n, m))
+        want = sum(kind != "equal" for kind, _, _ in metrics.align_words(list(a), list(b)))
+        assert metrics.edits(a, b) == metrics.edits(list(b), list(a)) == want
+    # words beyond the code points that word_edits can name
+    far = " ".join("".join(chr(97 + k // 26**i % 26) for i in range(4)) for k in range(70_000))
+    got = metrics.corpus_rates(spark.createDataFrame([(far, "x " + far), ("", "gone"), (None, "gone"), ("a b", None)], "r string, h string"), "r", "h").first()
+    assert got["wer"] == 100.0 / 70_002 and got["cer"] == 200.0 / (len(far) + 3)
