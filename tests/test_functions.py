@@ -274,3 +274,15 @@ def test_edits_against_the_table(spark):
     far = " ".join("".join(chr(97 + k // 26**i % 26) for i in range(4)) for k in range(70_000))
     got = metrics.corpus_rates(spark.createDataFrame([(far, "x " + far), ("", "gone"), (None, "gone"), ("a b", None)], "r string, h string"), "r", "h").first()
     assert got["wer"] == 100.0 / 70_002 and got["cer"] == 200.0 / (len(far) + 3)
+
+
+def test_signals_are_worked_on_in_small_parts(spark, monkeypatch):
+    """Whatever a batch holds, few values are turned into signals and handed back at once; empty and null ones count as rows."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(signal, "PART_VALUES", 100)
+    x = [[0.5] * 40, [0.1] * 60, None, [], [0.2] * 500, [0.3], [0.4] * 100]
+    batch = pa.RecordBatch.from_arrays([pa.array("abcdefg"[k] for k in range(7)), pa.array(x, pa.list_(pa.float32()))], ["key", "x"])
+    parts = list(signal._parts(iter([batch, batch.slice(0, 0)])))
+    assert sum((p.column(0).to_pylist() for p in parts), []) == list("abcdefg")
+    assert all(p.num_rows == 1 or sum(len(v or []) for v in p.column(1).to_pylist()) <= 100 for p in parts)
