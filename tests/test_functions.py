@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import functools
 import json
+import math
 from pathlib import Path
 
 import numpy as np
@@ -286,3 +288,21 @@ def test_signals_are_worked_on_in_small_parts(spark, monkeypatch):
     parts = list(signal._parts(iter([batch, batch.slice(0, 0)])))
     assert sum((p.column(0).to_pylist() for p in parts), []) == list("abcdefg")
     assert all(p.num_rows == 1 or sum(len(v or []) for v in p.column(1).to_pylist()) <= 100 for p in parts)
+
+
+def test_nearest_against_plain_sums(spark):
+    """Copies, negative keys, a vector of zeros and a null one, asked rows in several blocks."""
+    rng = np.random.default_rng(5)
+    rows = [(k - 20, [float(np.float32(x)) for x in rng.normal(size=6)]) for k in range(60)]
+    rows += [(100, rows[3][1]), (101, rows[3][1]), (102, [2 * x for x in rows[7][1]]), (103, None)]
+    df = spark.createDataFrame(rows, "k long, v array<float>").repartition(3)
+    got = {r["k"]: (r["nearest"], r["similarity"]) for r in metrics.nearest(df, df.where("k % 2 = 0"), "k", "v", block=7).collect()}
+    dot = lambda a, b: functools.reduce(lambda s, xy: s + xy[0] * xy[1], zip(a, b, strict=True), 0.0)  # noqa: E731  # sum() would compensate
+    for k, v in rows:
+        if v and k % 2 == 0:
+            all_ = [(min(1.0, dot(v, w) / math.sqrt(dot(v, v) * dot(w, w))), -j) for j, w in rows if w and j != k]
+            assert got.pop(k) == (-max(all_)[1], max(all_)[0])
+    assert not got
+    zeros = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.5])], "k long, v array<float>")
+    found = metrics.nearest(zeros, zeros.where("k = 2"), "k", "v").first()
+    assert found["nearest"] == 1 and np.isnan(found["similarity"])  # as in the SQL, which takes what is no number for the highest
