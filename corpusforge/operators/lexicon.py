@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as T
+from corpusforge.session import materialize
+
+#: Words of a lexicon that are broadcast at most, counted first; beyond that they are joined by a shuffle.
+MAX_BROADCAST = 500_000
 
 
 def tokens(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -21,8 +25,13 @@ def lexicon(rows: DataFrame, text: str, least: int = 3) -> DataFrame:
 
 def unknown_share(rows: DataFrame, key: str, text: str, known: DataFrame) -> DataFrame:
     """For each text the share of its lower-cased words that a lexicon (word) lacks."""
-    each = tokens(rows, key, text).select(key, F.lower("word").alias("word"))
-    counted = each.groupBy(key, "word").agg(F.count("*").alias("n")).join(known.select("word", F.lit(1).alias("_in")), "word", "left")
+    each = rows.select(key, F.explode(T.words(text)).alias("word")).select(key, F.lower("word").alias("word"))
+    held = materialize(known.select("word", F.lit(1).alias("_in")), "lexicon")
+    if held.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+        # no word is shuffled: a text's words are counted in the task that reads it
+        counted = each.join(F.broadcast(held), "word", "left").withColumn("n", F.lit(1).cast("long"))
+    else:
+        counted = each.groupBy(key, "word").agg(F.count("*").alias("n")).join(held, "word", "left")
     return counted.groupBy(key).agg(F.sum("n").alias("words"), F.sum(F.when(F.col("_in").isNull(), F.col("n")).otherwise(0)).alias("unknown")).withColumn("share", F.col("unknown") / F.col("words"))
 
 
