@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusforge.functions import text as T
 from corpusforge.session import materialize
 
-#: Words of a lexicon that are broadcast at most, counted first; beyond that they are joined by a shuffle.
+#: Words of a lexicon that are broadcast at most, the most frequent ones; the others are joined by a shuffle.
 MAX_BROADCAST = 500_000
 
 
@@ -26,13 +26,24 @@ def lexicon(rows: DataFrame, text: str, least: int = 3) -> DataFrame:
 def unknown_share(rows: DataFrame, key: str, text: str, known: DataFrame) -> DataFrame:
     """For each text the share of its lower-cased words that a lexicon (word) lacks."""
     each = rows.select(key, F.explode(T.words(text)).alias("word")).select(key, F.lower("word").alias("word"))
-    held = materialize(known.select("word", F.lit(1).alias("_in")), "lexicon")
-    if held.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
-        # no word is shuffled: a text's words are counted in the task that reads it
-        counted = each.join(F.broadcast(held), "word", "left").withColumn("n", F.lit(1).cast("long"))
+    held = materialize(known.select("word", (F.col("n") if "n" in known.columns else F.lit(1)).alias("_often")), "lexicon")
+    least, total = 0, 0
+    for often, words in sorted(held.groupBy("_often").count().collect(), reverse=True):
+        total += words
+        if total > MAX_BROADCAST:
+            least = often + 1
+            break
+    # words of the lexicon's frequent part are told in the task that reads a text; of the others alone each is a row of a shuffle
+    frequent = held.where(F.col("_often") >= least).select("word", F.lit(1).alias("_in"))
+    told = each.join(F.broadcast(frequent), "word", "left").select(key, F.when(F.col("_in").isNull(), F.col("word")).alias("word"))
+    counted = told.groupBy(key, "word").agg(F.count("*").alias("n"))
+    if least:
+        rare = held.where(F.col("_often") < least).select("word", F.lit(1).alias("_in"))
+        counted = counted.join(rare, "word", "left")
     else:
-        counted = each.groupBy(key, "word").agg(F.count("*").alias("n")).join(held, "word", "left")
-    return counted.groupBy(key).agg(F.sum("n").alias("words"), F.sum(F.when(F.col("_in").isNull(), F.col("n")).otherwise(0)).alias("unknown")).withColumn("share", F.col("unknown") / F.col("words"))
+        counted = told.withColumns({"n": F.lit(1).cast("long"), "_in": F.lit(None).cast("int")})
+    unknown = F.when(F.col("word").isNotNull() & F.col("_in").isNull(), F.col("n")).otherwise(0)
+    return counted.groupBy(key).agg(F.sum("n").alias("words"), F.sum(unknown).alias("unknown")).withColumn("share", F.col("unknown") / F.col("words"))
 
 
 def acronyms(rows: DataFrame, key: str, text: str, least: int = 2) -> DataFrame:
